@@ -1,0 +1,4 @@
+from haulmark.catalog.registry import query
+
+for _t in ["service_zones","zone_postal_codes","facilities","routes","customers","business_accounts","business_contacts","account_addresses","addresses","shipments","packages","pallets","freight_bills","tracking_events","staffed_events","employees","drivers","vehicles","assignments","rate_cards","account_country","account_shipments","invoice_heads","invoice_lines","invoice_totals","payments","invoices"]:
+    query("t_"+_t, f"SELECT * FROM {_t}")(lambda lake, t=_t: getattr(lake, t))
