@@ -23,7 +23,9 @@ def _blocked(df: DataFrame, order: str, block_rows: int) -> DataFrame:
 def _carried(blocked: DataFrame, group: list[str], summary: Column, carry) -> DataFrame:
     per_block = blocked.groupBy(*group, _BLOCK).agg(summary.alias("__summary"))
     over = Window.partitionBy(*group).orderBy(_BLOCK)
-    return per_block.select(*group, _BLOCK, carry(F.col("__summary"), over).alias("__carry"))
+    carried = per_block.select(*group, _BLOCK, carry(F.col("__summary"), over).alias("__carry"))
+    # A missing carry means the same as a null one, and most groups end in their first block.
+    return carried.filter(F.col("__carry").isNotNull())
 
 
 def lag_within(df: DataFrame, group: list[str], order: str, value: str, out: str,
