@@ -1,6 +1,6 @@
 """Imports every family of queries, which registers them."""
 
 from haulmark.catalog import (  # noqa: F401
-    filters, joining, quality_checks, scalar, scans, streams, summaries,
+    business, filters, joining, operations, quality_checks, scalar, scans, streams, summaries,
 )
 from haulmark.catalog.registry import ORACLES, PLANS, run  # noqa: F401

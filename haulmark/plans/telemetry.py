@@ -17,8 +17,8 @@ def seconds(ms: str) -> Column:
 
 
 def pages_to_mb(pages: str) -> Column:
-    """8 KB pages to MB."""
-    return _c(pages).cast("decimal(18,0)") / F.lit(128).cast("decimal(3,0)")
+    """8 KB pages to MB: 1/128 each, which seven decimals hold exactly."""
+    return _c(pages).cast("decimal(18,0)") * F.lit("0.0078125").cast("decimal(8,7)")
 
 
 def scans(lake) -> DataFrame:
