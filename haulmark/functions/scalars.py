@@ -25,11 +25,18 @@ def zero_pad(number: Column, width: int) -> Column:
     return F.right(F.concat(F.lit("0" * width), number.cast("string")), F.lit(width))
 
 
+def day_number(ts: Column) -> Column:
+    """The date as the number yyyymmdd; arithmetic is cheaper here than formatting text."""
+    return (F.year(ts) * 10000 + F.month(ts) * 100 + F.day(ts)).cast("long")
+
+
 def tracking_number(tier_code: Column, created_at: Column, sequence: Column) -> Column:
-    """TL + tier letter + yyyyMMdd + HH + last five digits of the sequence: 18 characters."""
-    return F.concat(
-        F.lit("TL"), tier_code, F.date_format(created_at, "yyyyMMdd"),
-        zero_pad(F.hour(created_at), 2), zero_pad(F.pmod(sequence, F.lit(100000)), 5))
+    """TL + tier letter + yyyyMMdd + HH + last five digits of the sequence: 18 characters.
+
+    Date, hour and sequence are joined as one 15-digit number, so the inner zeros need no padding.
+    """
+    digits = (day_number(created_at) * 100 + F.hour(created_at)) * 100000 + F.pmod(sequence, F.lit(100000))
+    return F.concat(F.lit("TL"), tier_code, digits.cast("string"))
 
 
 def tracking_parts(number: Column) -> dict[str, Column]:
@@ -43,8 +50,9 @@ def tracking_parts(number: Column) -> dict[str, Column]:
 
 
 def dim_weight(length: Column, width: Column, height: Column) -> Column:
-    """Dimensional weight in kg from centimetres."""
-    return (length * width * height / F.lit(5000).cast("decimal(4,0)")).cast("decimal(8,2)")
+    """Dimensional weight in kg from whole centimetres: volume / 5000."""
+    volume = length.cast("long") * width.cast("long") * height.cast("long")
+    return (volume.cast("decimal(18,0)") * F.lit("0.0002").cast("decimal(4,4)")).cast("decimal(8,2)")
 
 
 def billable_weight(actual: Column, dimensional: Column) -> Column:

@@ -18,16 +18,20 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its lowe
 
 def dense_keys(df: DataFrame, order: list[str], key: str, start: int = 1,
                partitions: int | None = None) -> DataFrame:
-    """Add ``key`` = start, start+1, ... in the order of ``order`` (which must identify a row)."""
+    """Add ``key`` = start, start+1, ... in the order of ``order`` (which must identify a row).
+
+    Finding the range bounds reads ``df`` once more than the numbering itself, so ``df`` should be a plain
+    scan or a stored table; number narrow rows first and join the rest on afterwards.
+    """
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_path(spark, f"keys-{key}")
-    (df.repartitionByRange(parts, *order)
-       .sortWithinPartitions(*order)
-       .withColumn("__place", F.monotonically_increasing_id())
-       .write.parquet(path))
+    placed = (df.repartitionByRange(parts, *order)
+              .sortWithinPartitions(*order)
+              .withColumn("__place", F.monotonically_increasing_id()))
+    placed.write.parquet(path)
 
-    stored = (spark.read.parquet(path)
+    stored = (spark.read.schema(placed.schema).parquet(path)
               .withColumn("__part", F.shiftright("__place", _ROW_BITS))
               .withColumn("__row", F.col("__place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))))
     # One row per range partition: the size of this frame is bounded by ``parts``, not by the data.

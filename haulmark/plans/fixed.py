@@ -45,6 +45,13 @@ EVENT_PATHS = {
 PACKAGE_COUNT_BANDS = [(75, 3), (93, 4), (98, 5)]  # the rest has 6 events
 PALLET_COUNT_BANDS = [(45, 3), (75, 4), (92, 5)]
 
+# Hours between events: (least hours, number of possible hours)
+PICKUP_HOURS = (0, 5)
+HAUL_HOURS = {"Ground": (24, 49), "Express": (8, 23), "Freight": (24, 73)}  # first hub scan, depot scan
+SECOND_HUB_HOURS = {"Package": (2, 7), "Pallet": (4, 13)}
+LAST_MILE_HOURS = (8, 9)
+OTHER_HOURS = (2, 7)
+
 # --- rates -------------------------------------------------------------------------------------------
 # tier: (current base rate per shipment, current surcharge per kg)
 RATE_BASE = {"Ground": (4.50, 0.15), "Express": (9.00, 0.35), "Freight": (2.80, 0.10)}

@@ -1,7 +1,7 @@
 """The logistics tables, each derived from the input tables as one lazy plan.
 
-Tables that need gap-free keys (packages, invoices) are loaded once per session into the shared folder;
-everything else is a view. Timestamps have no time zone and are UTC by convention; money is decimal.
+Tables that need gap-free keys (packages, invoices) and the event log are loaded once per session into the
+shared folder; everything else is a view. Timestamps have no time zone and are UTC by convention; money is decimal.
 """
 
 from __future__ import annotations
@@ -15,18 +15,32 @@ from haulmark.functions import scalars as S
 from haulmark.operators.keys import dense_keys
 from haulmark.operators.ordered import row_number_within
 from haulmark.plans import fixed as X
+from haulmark.plans.loads import Warehouse, load_all
 from haulmark.session import prepare
 from haulmark.sources.tables import scan
+from haulmark.sources.writes import stage
 
 FACILITY_ADDRESS_BASE = 10**15
 HUBS = 5  # one hub per region
+MAX_EVENTS = 6  # longest event path
 PALLET_EVENT_BASE = 10**15
 _c = F.col
 
 
-def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Inline rows. The frame is as long as its literal, so joins with it are always small."""
-    return spark.createDataFrame(rows, schema)
+def values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """Inline rows. Spark knows the size of a VALUES list, so it broadcasts it without a hint."""
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(map(repr, rows))} AS t({columns})")
+
+
+def hours_rule(code: str, slot: int, tier: str, entity: str) -> tuple[int, int]:
+    """Least hours and number of choices between an event and the one before it."""
+    if code == "PICKUP":
+        return X.PICKUP_HOURS
+    if code == "SCAN_DEPOT" or (code == "SCAN_HUB" and slot == 2):
+        return X.HAUL_HOURS[tier]
+    if code == "SCAN_HUB":
+        return X.SECOND_HUB_HOURS[entity]
+    return X.LAST_MILE_HOURS if code == "OUT_FOR_DELIVERY" else X.OTHER_HOURS
 
 
 class Lake:
@@ -37,6 +51,11 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return scan(self.spark, self.sf_dir, name)
 
+    @cached_property
+    def warehouse(self) -> Warehouse:
+        """All tables as loaded in dependency order; the quality suite reads these copies."""
+        return load_all(self)
+
     # ---------------------------------------------------------------- network
     @cached_property
     def nations(self) -> DataFrame:
@@ -288,31 +307,36 @@ class Lake:
     _PACKAGE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
                       "l_extendedprice"]
 
-    def load_packages(self) -> DataFrame:
-        """Number the parcel lines and store them with what later stages need of their shipment."""
+    def derive_packages(self) -> DataFrame:
+        """Number the narrow parcel lines, then join what later stages need of their shipment.
+
+        The tier follows from the order key, so freight lines are gone before anything is shuffled.
+        """
         parcels = self.table("lineitem").select(*self._PACKAGE_ORDER).filter(
             S.bucket(_c("l_orderkey"), 37, 11) < X.TIER_BANDS[-1][0])
+        numbered = dense_keys(parcels, self._PACKAGE_ORDER, "package_id").select(
+            "package_id", "l_orderkey", "l_partkey", "l_quantity")
         ship = self.shipments.select("shipment_id", "service_tier", "shipment_status", "created_at",
                                      "origin_nation", "dest_nation", "origin_region", "dest_region")
-        rows = parcels.join(ship, _c("l_orderkey") == _c("shipment_id")).drop("shipment_id")
-        return dense_keys(rows, self._PACKAGE_ORDER, "package_id")
-
-    @cached_property
-    def packages(self) -> DataFrame:
+        rows = numbered.join(ship, _c("l_orderkey") == _c("shipment_id")).drop("shipment_id")
         p = _c("l_partkey")
-        dims = {c: (p * m % 111 + 10).cast("decimal(8,2)")
-                for c, m in (("length_cm", 3), ("width_cm", 5), ("height_cm", 7))}
+        length, width, height = (p * m % 111 + 10 for m in (3, 5, 7))
         status = F.create_map(*[F.lit(x) for pair in X.PACKAGE_STATUS.items() for x in pair])
-        return (self.load_packages().withColumns(dims).select(
+        return rows.select(
             "package_id", _c("l_orderkey").alias("shipment_id"),
             S.tracking_number(F.left("service_tier", F.lit(1)), _c("created_at"), _c("package_id"))
              .alias("tracking_number"),
             _c("l_quantity").cast("decimal(8,2)").alias("actual_weight_kg"),
-            "length_cm", "width_cm", "height_cm",
-            S.dim_weight(_c("length_cm"), _c("width_cm"), _c("height_cm")).alias("dim_weight_kg"),
+            length.cast("decimal(8,2)").alias("length_cm"), width.cast("decimal(8,2)").alias("width_cm"),
+            height.cast("decimal(8,2)").alias("height_cm"),
+            S.dim_weight(length, width, height).alias("dim_weight_kg"),
             F.coalesce(F.try_element_at(status, _c("shipment_status")), F.lit("InTransit")).alias("package_status"),
             "service_tier", "shipment_status", "created_at",
-            "origin_nation", "dest_nation", "origin_region", "dest_region"))
+            "origin_nation", "dest_nation", "origin_region", "dest_region")
+
+    @cached_property
+    def packages(self) -> DataFrame:
+        return stage(self.derive_packages(), "packages")
 
     @cached_property
     def freight_shipments(self) -> DataFrame:
@@ -342,7 +366,7 @@ class Lake:
             F.count(F.lit(1)).alias("total_pallets"))
         heads = self.freight_shipments.select(
             k.alias("freight_bill_id"), "shipment_id",
-            F.concat(F.lit("BOL"), F.date_format("created_at", "yyyyMMdd"), F.lit("-"),
+            F.concat(F.lit("BOL"), S.day_number(_c("created_at")).cast("string"), F.lit("-"),
                      S.zero_pad((k + 1) % 1000000, 6)).alias("bol_number"),
             (S.bucket(k, 43, 3) < 8).alias("hazmat"), "created_at")
         return heads.join(totals, "freight_bill_id")
@@ -372,25 +396,41 @@ class Lake:
     def event_template(self) -> DataFrame:
         rows = [(path, count, slot, code) for (path, count), codes in X.EVENT_PATHS.items()
                 for slot, code in enumerate(codes, 1)]
-        return values(self.spark, rows, "path_type string, event_count int, slot int, code string")
+        return values(self.spark, rows, "path_type, event_count, slot, code")
+
+    @cached_property
+    def hour_template(self) -> DataFrame:
+        """Event template with the hours up to each slot: a fixed part, and a modulus per earlier event.
+
+        The hours of event j are ``least + e_j % choices``. A row of the template carries the sum of the
+        least hours up to its slot and the choices of each event up to it (1 for later ones, which adds
+        nothing), so a running sum is plain arithmetic on one row.
+        """
+        rows = []
+        for entity, tier in (("Package", "Ground"), ("Package", "Express"), ("Pallet", "Freight")):
+            for (path, count), codes in X.EVENT_PATHS.items():
+                steps = [hours_rule(code, slot, tier, entity) for slot, code in enumerate(codes, 1)]
+                for slot, code in enumerate(codes, 1):
+                    choices = [steps[j][1] if j < slot else 1 for j in range(MAX_EVENTS)]
+                    rows.append((entity, tier, path, count, slot, code, sum(s[0] for s in steps[:slot]), *choices))
+        names = ", ".join(f"m{j}" for j in range(1, MAX_EVENTS + 1))
+        return values(self.spark, rows,
+                      f"entity_type, service_tier, path_type, event_count, slot, code, least_hours, {names}")
 
     @cached_property
     def tracking_events(self) -> DataFrame:
-        """One row per event. Hours run up inside the row before it is expanded, so nothing is shuffled."""
-        path = F.when(F.lit(False), F.array(F.lit("")))
-        for (kind, count), codes in X.EVENT_PATHS.items():
-            path = path.when((_c("path_type") == kind) & (_c("event_count") == count),
-                             F.array(*[F.lit(c) for c in codes]))
+        """The stored event log."""
+        return stage(self.derive_tracking_events(), "tracking-events")
+
+    def derive_tracking_events(self) -> DataFrame:
+        """One row per event: the template fans an entity out and brings its hours along, so no shuffle."""
         first_id = _c("entity_id") * 10 + F.when(_c("entity_type") == "Pallet", F.lit(PALLET_EVENT_BASE)).otherwise(
             F.lit(0).cast("long"))
-        rows = self.tracked.withColumns({"codes": path, "first_id": first_id})
-        hours = F.transform("codes", lambda code, i: self.event_hours(
-            code, i + 1, _c("first_id") + i + 1, _c("service_tier"), _c("entity_type")))
-        ups = F.transform("hours", lambda h, i: F.aggregate(F.slice("hours", F.lit(1), i + 1),
-                                                            F.lit(0).cast("long"), lambda a, x: a + x))
-        events = (rows.withColumn("hours", hours).withColumn("running", ups)
-                  .select("*", F.inline(F.transform(F.arrays_zip("codes", "running"), lambda s, i: F.struct(
-                      (i + 1).alias("slot"), s["codes"].alias("code"), s["running"].alias("cum_hours"))))))
+        events = (self.tracked.withColumn("first_id", first_id)
+                  .join(self.hour_template, ["entity_type", "service_tier", "path_type", "event_count"]))
+        hours = _c("least_hours").cast("long")
+        for j in range(1, MAX_EVENTS + 1):
+            hours = hours + ((_c("first_id") + j) * 13 + 5) % _c(f"m{j}")
         code = F.when(_c("code") == "FINAL", _c("final_code")).otherwise(_c("code"))
         hub = F.when(_c("slot") == 2, _c("origin_region")).otherwise(_c("dest_region")).cast("long")
         depot = F.lit(1000).cast("long") + F.when(_c("code") == "PICKUP", _c("origin_nation")) \
@@ -400,20 +440,7 @@ class Lake:
             F.when(_c("entity_type") == "Package", _c("entity_id")).alias("package_id"),
             F.when(_c("entity_type") == "Pallet", _c("entity_id")).alias("pallet_id"),
             F.when(_c("code") == "SCAN_HUB", hub).otherwise(depot).alias("facility_id"),
-            code.alias("event_code"), S.add_hours(_c("created_at"), _c("cum_hours")).alias("event_ts"), "slot")
-
-    @staticmethod
-    def event_hours(code, slot, event_id, tier, entity_type):
-        """Hours since the event before, by code and service tier."""
-        e = event_id * 13 + 5
-        haul = F.when(tier == "Ground", e % 49 + 24).when(tier == "Express", e % 23 + 8).otherwise(e % 73 + 24)
-        return (F.when(code == "PICKUP", e % 5)
-                .when((code == "SCAN_HUB") & (slot == 2), haul)
-                .when((code == "SCAN_HUB") & (slot == 3),
-                      F.when(entity_type == "Pallet", e % 13 + 4).otherwise(e % 7 + 2))
-                .when(code == "SCAN_DEPOT", haul)
-                .when(code == "OUT_FOR_DELIVERY", e % 9 + 8)
-                .otherwise(e % 7 + 2))
+            code.alias("event_code"), S.add_hours(_c("created_at"), hours).alias("event_ts"), "slot")
 
     @cached_property
     def employee_pool(self) -> DataFrame:
@@ -583,17 +610,17 @@ class Lake:
              .when(_c("service_tier") == "Express", amount(25, 22500)).otherwise(amount(200, 330000))
              .alias("line_amount"))
 
-    def load_invoice_heads(self) -> DataFrame:
-        """One invoice per account and month: distinct plan, dates, gap-free id."""
+    def number_invoices(self) -> DataFrame:
+        """One invoice per account and month, with a gap-free id in that order."""
         plan = (self.account_shipments.select("account_id", "inv_year", "inv_month").distinct()
                 .join(self.account_country, "account_id"))
-        return dense_keys(plan, ["account_id", "inv_year", "inv_month"], "invoice_id")
+        return dense_keys(stage(plan, "invoice-plan"), ["account_id", "inv_year", "inv_month"], "invoice_id")
 
     @cached_property
     def invoice_heads(self) -> DataFrame:
         month = F.add_months(F.make_date("inv_year", "inv_month", F.lit(1)), 1)
         us = _c("country_code") == "US"
-        return self.load_invoice_heads().select(
+        return self.number_invoices().select(
             "invoice_id", "account_id", "inv_year", "inv_month", "country_code",
             F.date_add(month, 4).alias("invoice_date"), F.date_add(month, 34).alias("due_date"),
             F.concat(F.lit("INV-"), _c("inv_year").cast("string"), F.lit("-"),

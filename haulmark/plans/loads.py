@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from haulmark.session import new_path
@@ -17,9 +19,18 @@ LOAD_ORDER = [
 ]
 
 
-def load_all(lake) -> DataFrame:
-    """Write every table, observing its row count; the result has one row per stage."""
+@dataclass
+class Warehouse:
+    tables: dict[str, DataFrame]
+    row_counts: dict[str, int]  # as observed while writing
+
+
+def load_all(lake) -> Warehouse:
+    """Write every table once and count its rows on the way."""
     root = new_path(lake.spark, "warehouse")
-    written = [(stage, name, counted_write(getattr(lake, name), f"{root}/{name}"))
-               for stage, name in enumerate(LOAD_ORDER, 1)]
-    return lake.spark.createDataFrame(written, "stage int, table_name string, rows_written bigint")
+    tables, counts = {}, {}
+    for name in LOAD_ORDER:
+        df = getattr(lake, name)
+        counts[name] = counted_write(df, f"{root}/{name}")
+        tables[name] = lake.spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    return Warehouse(tables, counts)

@@ -181,6 +181,9 @@ def schedulers(lake) -> DataFrame:
 
 
 # ------------------------------------------------------------------------------ deadlock graphs in XML
+DEADLOCK_EVENT = "xml_deadlock_report"
+
+
 def deadlock_xml() -> Column:
     """Ring buffer of one sample: an unrelated entry, then a deadlock report."""
     return F.concat(
@@ -190,13 +193,18 @@ def deadlock_xml() -> Column:
 
 
 def deadlocks(ring_buffers: DataFrame, xml: Column, key: str) -> DataFrame:
-    """One row per deadlock report: the event nodes are cut out and exploded, then read by path."""
-    nodes = F.regexp_extract_all(xml, F.lit(r"(?s)(<event\b[^>]*?(?:/>|>.*?</event>))"), 1)
+    """One row per deadlock report: the event nodes are cut out and exploded, then parsed once each.
+
+    The text test only spares nodes the parser; the parsed name decides.
+    """
+    nodes = F.regexp_extract_all(xml, F.lit(r"(?s)(<event\b[^>]*?(?:/>|>.*?</event>))"), F.lit(1))
+    parsed = F.from_xml("node", "_name string, _timestamp string")
     return (ring_buffers.select(key, F.explode(nodes).alias("node"))
-            .filter(F.xpath_string("node", F.lit("/event/@name")) == "xml_deadlock_report")
+            .filter(_c("node").contains(DEADLOCK_EVENT))
+            .withColumn("event", parsed)
+            .filter(_c("event._name") == DEADLOCK_EVENT)
             .select(key,
-                    F.to_timestamp_ntz(F.xpath_string("node", F.lit("/event/@timestamp")),
-                                       F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("deadlock_time"),
+                    F.to_timestamp_ntz("event._timestamp", F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("deadlock_time"),
                     _c("node").alias("deadlock_graph")))
 
 

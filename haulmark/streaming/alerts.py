@@ -22,6 +22,7 @@ from haulmark.streaming.source import event_stream, run_to_end
 
 _c = F.col
 NEVER = -(2**62)
+RUNS_PER_GROUP = 4096
 
 
 def answered(second: np.ndarray, last: int, delay: int) -> list[int]:
@@ -41,7 +42,10 @@ def severe_seconds(events: DataFrame, severity: int) -> DataFrame:
 
 def batch_alerts(events: DataFrame, severity: int = X.ALERT_SEVERITY,
                  delay: int = X.ALERT_DELAY_SECONDS) -> DataFrame:
-    """Batch form. A silence of ``delay`` always re-arms the alert, so it cuts a key into separate runs."""
+    """Batch form. A silence of ``delay`` always re-arms the alert, so it cuts a key into separate runs.
+
+    Runs are independent of each other; ``RUNS_PER_GROUP`` neighbouring runs share a call into Python.
+    """
     seconds = severe_seconds(events, severity).distinct()
     gaps = lag_within(seconds, ["alert"], "second", "second", "before")
     starts = gaps.withColumn("starts", F.when(_c("second") - _c("before") < delay, 0).otherwise(1).cast("long"))
@@ -51,7 +55,8 @@ def batch_alerts(events: DataFrame, severity: int = X.ALERT_SEVERITY,
         fired = answered(np.sort(pdf["second"].to_numpy()), NEVER, delay)
         return pd.DataFrame({"alert": pdf["alert"].iloc[0], "second": fired})
 
-    return as_report(runs.groupBy("alert", "run").applyInPandas(respond, "alert string, second long"))
+    packed = runs.withColumn("pack", F.expr(f"run div {RUNS_PER_GROUP}"))
+    return as_report(packed.groupBy("alert", "pack").applyInPandas(respond, "alert string, second long"))
 
 
 def as_report(fired: DataFrame) -> DataFrame:
