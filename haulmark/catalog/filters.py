@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from haulmark.catalog.oracle import CUTOFF
 from haulmark.catalog.registry import query
 from haulmark.functions import scalars as S
+from haulmark.operators.joins import found_in
 
 _c = F.col
 
@@ -119,7 +120,7 @@ WHERE EXISTS (SELECT 1 FROM shipments s WHERE s.sender_account_id = b.account_id
 def p11(lake):
     recent = lake.shipments.filter(_c("created_at") >= F.lit(dt.datetime(2001, 7, 1)).cast("timestamp_ntz"))
     senders = recent.select(_c("sender_account_id").alias("account_id"))
-    return lake.business_accounts.join(senders, "account_id", "left_semi").select("account_id", "account_name")
+    return found_in(lake.business_accounts.select("account_id", "account_name"), senders, "account_id")
 
 
 @query("p12_date_parameters", """

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from haulmark.catalog.oracle import roll
 from haulmark.catalog.registry import query
-from haulmark.functions import scalars as S
-from haulmark.operators.joins import effective_join, postal_zone_join, range_join
+from haulmark.operators.joins import (
+    effective_join, found_in, left_join_many, missing_in, postal_zone_join, range_join)
 from haulmark.operators.ordered import row_number_within
 from haulmark.plans import people, telemetry
 
@@ -33,9 +31,8 @@ def j2(lake):
 SELECT o_orderkey, l_linenumber, l_partkey FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""")
 def j3(lake):
     """Orders without any line stay, with nulls."""
-    lines = lake.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return (lake.table("orders").select("o_orderkey").join(lines, _c("o_orderkey") == _c("l_orderkey"), "left")
-            .select("o_orderkey", "l_linenumber", "l_partkey"))
+    lines = lake.table("lineitem").select(_c("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey")
+    return left_join_many(lake.table("orders").select("o_orderkey"), lines, "o_orderkey")
 
 
 @query("j4_left_with_fallback", """
@@ -54,7 +51,7 @@ def j4(lake):
 SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
 def j5(lake):
     lines = lake.table("lineitem").select(_c("l_orderkey").alias("o_orderkey"))
-    return lake.table("orders").select("o_orderkey").join(lines, "o_orderkey", "left_anti")
+    return missing_in(lake.table("orders").select("o_orderkey"), lines, "o_orderkey")
 
 
 @query("j6_two_roles", """
@@ -174,11 +171,10 @@ SELECT s.shipment_id, f.facility_code FROM shipments s JOIN
   (SELECT facility_code, row_number() OVER (ORDER BY facility_id) AS n, count(*) OVER () AS size FROM facilities) f
   ON f.n = s.shipment_id % f.size + 1""")
 def j18(lake):
-    """Index into a numbered pool; the pool size comes from the pool itself as one row."""
+    """Index into a numbered pool; the pool size is a scalar subquery over the pool itself."""
     pool = row_number_within(lake.facilities.select("facility_id", "facility_code"), [], "facility_id", "n")
-    size = lake.facilities.agg(F.count(F.lit(1)).alias("size"))
-    picks = lake.shipments.select("shipment_id").join(F.broadcast(size), F.lit(True)).select(
-        "shipment_id", (_c("shipment_id") % _c("size") + 1).alias("n"))
+    size = lake.facilities.agg(F.count(F.lit(1))).scalar()
+    picks = lake.shipments.select("shipment_id", (_c("shipment_id") % size + 1).alias("n"))
     return picks.join(pool, "n").select("shipment_id", "facility_code")
 
 
@@ -189,8 +185,8 @@ def j19(lake):
         lake.employees.select("employee_id", "full_name"), "employee_id")
 
 
-@query("j20_reference_semi_join", f"""
+@query("j20_reference_semi_join", """
 SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""")
 def j20(lake):
     referenced = lake.table("orders").select(_c("o_custkey").alias("c_custkey"))
-    return lake.table("customer").join(referenced, "c_custkey", "left_semi").select("c_custkey")
+    return found_in(lake.table("customer").select("c_custkey"), referenced, "c_custkey")

@@ -59,10 +59,8 @@ def s5(lake):
     """Totals are written once because two later steps read them."""
     totals = writes.stage(lake.account_shipments.groupBy("account_id").agg(
         F.sum("line_amount").cast("decimal(18,2)").alias("total"), F.count(F.lit(1)).alias("n")), "account-totals")
-    top = totals.agg(F.max("total").alias("top"))
-    # A global aggregate is one row, so this broadcast cannot grow with the data.
-    return totals.join(F.broadcast(top), F.lit(True)).select(
-        "account_id", "total", "n", (_c("total") / _c("top") > 0.5).alias("above_half"))
+    top = totals.agg(F.max("total")).scalar()
+    return totals.select("account_id", "total", "n", (_c("total") / top > 0.5).alias("above_half"))
 
 
 @query("s6_append", f"""
@@ -202,7 +200,7 @@ def s17(lake):
     for i, t in enumerate(loads.LOAD_ORDER, 1)))
 def s18(lake):
     """All tables written in dependency order, with the row counts seen while writing."""
-    counts = lake.warehouse.row_counts
+    counts = lake.warehouse.load_all()
     rows = [(stage, name, counts[name]) for stage, name in enumerate(loads.LOAD_ORDER, 1)]
     return lake.spark.createDataFrame(rows, "stage int, table_name string, rows_written bigint")
 
@@ -224,6 +222,6 @@ SELECT shipment_status, count(*) AS n, min(shipment_id) AS lo, max(shipment_id)
 def s20(lake):
     fragmented, tidy = new_path(lake.spark, "fragmented"), new_path(lake.spark, "compacted")
     lake.shipments.select("shipment_id", "shipment_status").repartition(32).write.parquet(fragmented)
-    writes.compact(lake.spark, fragmented, tidy, ["shipment_status", "shipment_id"], files=4)
+    writes.compact(lake.spark, fragmented, tidy, ["shipment_status", "shipment_id"])
     return lake.spark.read.parquet(tidy).groupBy("shipment_status").agg(
         F.count(F.lit(1)).alias("n"), F.min("shipment_id").alias("lo"), F.max("shipment_id").alias("hi"))

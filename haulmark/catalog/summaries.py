@@ -62,7 +62,7 @@ def a7(lake):
 
 
 def table_counts(lake) -> DataFrame:
-    parts = [lake.warehouse.tables[t].agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n")) for t in loads.LOAD_ORDER]
+    parts = [lake.warehouse[t].agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n")) for t in loads.LOAD_ORDER]
     return reduce(DataFrame.unionAll, parts)
 
 

@@ -1,6 +1,10 @@
-"""Joins on intervals. Each carries an equality key, so none is planned as a nested loop.
+"""Joins that hold for hot keys and for intervals.
 
-No side is forced to be broadcast: Catalyst and AQE do that where the measured size allows it.
+No side is forced to be broadcast: Catalyst and AQE do that where the measured size allows it. Where both
+sides are shuffled, AQE splits a hot partition, but only on a side that the join type lets it split: both
+sides of an inner join, the kept side of an outer join, the left side of a semi or anti join. The helpers
+below keep the side that can be hot on such a place. Interval joins carry an equality key, so none is
+planned as a nested loop.
 """
 
 from __future__ import annotations
@@ -9,6 +13,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def found_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Semi join. The other side is reduced to its keys first, so its hot keys are single rows."""
+    return df.join(other.select(key).distinct(), key, "left_semi")
+
+
+def missing_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Anti join, with the other side reduced to its keys."""
+    return df.join(other.select(key).distinct(), key, "left_anti")
+
+
+def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """Left outer join where the right side may hold a hot key.
+
+    The matches are an inner join, which can be split on either side; rows without a match are added to it.
+    """
+    alone = missing_in(one, many, key)
+    return one.join(many, key).unionByName(alone, allowMissingColumns=True)
+
+
 def range_join(facts: DataFrame, ranges: DataFrame, value: str, low: str, high: str, keys: list[str],
                cell: int, how: str = "inner") -> DataFrame:
     """Match integer ``value`` to [low, high] within equal ``keys``.

@@ -15,7 +15,7 @@ from haulmark.functions import scalars as S
 from haulmark.operators.keys import dense_keys
 from haulmark.operators.ordered import row_number_within
 from haulmark.plans import fixed as X
-from haulmark.plans.loads import Warehouse, load_all
+from haulmark.plans.loads import Warehouse
 from haulmark.session import prepare
 from haulmark.sources.tables import scan
 from haulmark.sources.writes import stage
@@ -53,8 +53,13 @@ class Lake:
 
     @cached_property
     def warehouse(self) -> Warehouse:
-        """All tables as loaded in dependency order; the quality suite reads these copies."""
-        return load_all(self)
+        """The stored copies of the tables; the quality suite reads these."""
+        return Warehouse(self)
+
+    def derive(self, name: str) -> DataFrame:
+        """The plan that makes a table, also for those whose property is the stored copy."""
+        maker = getattr(self, f"derive_{name}", None)
+        return maker() if maker else getattr(self, name)
 
     # ---------------------------------------------------------------- network
     @cached_property
@@ -336,7 +341,7 @@ class Lake:
 
     @cached_property
     def packages(self) -> DataFrame:
-        return stage(self.derive_packages(), "packages")
+        return self.warehouse["packages"]
 
     @cached_property
     def freight_shipments(self) -> DataFrame:
@@ -420,7 +425,7 @@ class Lake:
     @cached_property
     def tracking_events(self) -> DataFrame:
         """The stored event log."""
-        return stage(self.derive_tracking_events(), "tracking-events")
+        return self.warehouse["tracking_events"]
 
     def derive_tracking_events(self) -> DataFrame:
         """One row per event: the template fans an entity out and brings its hours along, so no shuffle."""

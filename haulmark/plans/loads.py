@@ -1,8 +1,8 @@
-"""Loading all tables in the order of their references."""
+"""Loading the tables in the order of their references."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -19,18 +19,35 @@ LOAD_ORDER = [
 ]
 
 
-@dataclass
-class Warehouse:
-    tables: dict[str, DataFrame]
-    row_counts: dict[str, int]  # as observed while writing
+class Warehouse(Mapping):
+    """The stored tables by name. A table is written when it is first asked for, and only once.
 
+    The number of rows is observed during the write, so counting costs no further scan.
+    """
 
-def load_all(lake) -> Warehouse:
-    """Write every table once and count its rows on the way."""
-    root = new_path(lake.spark, "warehouse")
-    tables, counts = {}, {}
-    for name in LOAD_ORDER:
-        df = getattr(lake, name)
-        counts[name] = counted_write(df, f"{root}/{name}")
-        tables[name] = lake.spark.read.schema(df.schema).parquet(f"{root}/{name}")
-    return Warehouse(tables, counts)
+    def __init__(self, lake) -> None:
+        self._lake = lake
+        self._root = new_path(lake.spark, "warehouse")
+        self._tables: dict[str, DataFrame] = {}
+        self._counts: dict[str, int] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in LOAD_ORDER:
+            raise KeyError(name)
+        if name not in self._tables:
+            df, path = self._lake.derive(name), f"{self._root}/{name}"
+            self._counts[name] = counted_write(df, path)
+            self._tables[name] = self._lake.spark.read.schema(df.schema).parquet(path)
+        return self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(LOAD_ORDER)
+
+    def __len__(self) -> int:
+        return len(LOAD_ORDER)
+
+    def load_all(self) -> dict[str, int]:
+        """Load what is not loaded yet, in dependency order; returns the rows written per table."""
+        for name in LOAD_ORDER:
+            self[name]
+        return {name: self._counts[name] for name in LOAD_ORDER}

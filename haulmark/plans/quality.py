@@ -5,6 +5,7 @@ Every check gives (table_name, rule, violations). A CHECK is violated only where
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.functions.scalars import holds
+from haulmark.operators.joins import missing_in
 from haulmark.operators.ordered import lag_within
 from haulmark.plans import fixed as X
 
@@ -214,7 +216,7 @@ def reference_report(name: str, df: DataFrame, column: str, target_name: str, ta
 
 
 def bills_without_pallets(bills: DataFrame, pallets: DataFrame) -> DataFrame:
-    return bills.join(pallets.select("freight_bill_id"), "freight_bill_id", "left_anti")
+    return missing_in(bills, pallets, "freight_bill_id")
 
 
 def out_of_order(events: DataFrame, entity: list[str], order: str, ts: str) -> DataFrame:
@@ -226,7 +228,7 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def row_rules(tables: dict[str, DataFrame], kinds=ROW_KINDS) -> DataFrame:
+def row_rules(tables: Mapping[str, DataFrame], kinds=ROW_KINDS) -> DataFrame:
     parts = []
     for name, df in tables.items():
         predicates = row_predicates(RULES[name], kinds)
@@ -235,17 +237,17 @@ def row_rules(tables: dict[str, DataFrame], kinds=ROW_KINDS) -> DataFrame:
     return union_all(parts)
 
 
-def key_rules(tables: dict[str, DataFrame]) -> DataFrame:
+def key_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([unique_report(name, df, key) for name, df in tables.items() for key in RULES[name].keys])
 
 
-def reference_rules(tables: dict[str, DataFrame]) -> DataFrame:
+def reference_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([reference_report(name, df, column, target, tables[target], key)
                       for name, df in tables.items() for column, target, key in RULES[name].refs
                       if target in tables])
 
 
-def structure_rules(tables: dict[str, DataFrame]) -> DataFrame:
+def structure_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rules across rows that are not keys or references: bills need pallets, events run forward."""
     count = F.count(F.lit(1)).alias("violations")
     bills = bills_without_pallets(tables["freight_bills"], tables["pallets"]).agg(count).select(
@@ -256,7 +258,7 @@ def structure_rules(tables: dict[str, DataFrame]) -> DataFrame:
     return bills.unionAll(late)
 
 
-def integrity_report(tables: dict[str, DataFrame]) -> DataFrame:
+def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every declared rule of every table in one report."""
     parts = [row_rules(tables), key_rules(tables), reference_rules(tables), structure_rules(tables)]
     return union_all(parts)
@@ -273,7 +275,7 @@ def require_clean(report: DataFrame) -> None:
         raise RuleViolation("; ".join(f"{r.table_name} {r.rule}: {r.violations}" for r in bad))
 
 
-def count_violations(tables: dict[str, DataFrame], row_rules_only: bool = False) -> int:
+def count_violations(tables: Mapping[str, DataFrame], row_rules_only: bool = False) -> int:
     report = row_rules(tables)
     if not row_rules_only:
         report = report.unionAll(key_rules(tables)).unionAll(reference_rules(tables))

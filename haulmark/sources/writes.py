@@ -29,18 +29,22 @@ def counted_write(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
 
 
 def write_by_day(df: DataFrame, ts: str, path: str) -> None:
-    """Event log partitioned by day; rows are spread by day first so a day is a few files, not one per task.
-
-    The hour joins the day in the spreading key, so that one busy day is written by several tasks.
-    """
-    (df.withColumn("event_day", F.to_date(ts))
-       .repartition("event_day", F.hour(ts))
+    """Event log partitioned by day. The rebalance puts a day's rows together for few files, and lets AQE
+    split a day that is larger than the rest over several tasks."""
+    (df.withColumn("event_day", F.to_date(ts)).hint("rebalance", "event_day")
        .write.partitionBy("event_day").parquet(path))
 
 
-def compact(spark: SparkSession, source: str, target: str, order: list[str], files: int) -> None:
-    """Rewrite a fragmented table as ``files`` files that are disjoint and sorted on ``order``."""
-    (spark.read.parquet(source).repartitionByRange(files, *order)
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Data files below a path with their bytes; file contents are not read."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
+
+
+def compact(spark: SparkSession, source: str, target: str, order: list[str],
+            file_bytes: int = 512 << 20) -> None:
+    """Rewrite a fragmented table as files of about ``file_bytes`` that are disjoint and sorted on ``order``."""
+    total = file_sizes(spark, source).agg(F.coalesce(F.sum("length"), F.lit(0)).cast("long")).first()[0]
+    (spark.read.parquet(source).repartitionByRange(max(1, -(-total // file_bytes)), *order)
      .sortWithinPartitions(*order).write.parquet(target))
 
 

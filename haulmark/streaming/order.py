@@ -34,9 +34,9 @@ def late_events(spark: SparkSession, pattern: str, files_per_batch: int = 64,
         known = previous(batch_id)
         merged = known.unionByName(rows.select("user_id", "event_id", "late_ts"))
         last = latest_by(merged, ["user_id"], ["event_id"], ["event_id", "late_ts"])
-        horizon = merged.agg((F.max("late_ts") - F.expr(f"INTERVAL {idle_days} DAY")).alias("horizon"))
-        (last.join(F.broadcast(horizon), F.lit(True)).filter(_c("late_ts") >= _c("horizon"))  # one row
-             .drop("horizon").write.mode("overwrite").parquet(f"{memory}/{batch_id}"))
+        newest = merged.agg(F.max("late_ts")).scalar()
+        (last.filter(_c("late_ts") >= newest - F.expr(f"INTERVAL {idle_days} DAY"))
+             .write.mode("overwrite").parquet(f"{memory}/{batch_id}"))
         seen = lag_within(merged, ["user_id"], "event_id", "late_ts", "previous_ts")
         found = (seen.filter(_c("late_ts") < _c("previous_ts"))
                  .join(known.select("user_id", "event_id"), ["user_id", "event_id"], "left_anti"))
