@@ -131,9 +131,9 @@ def t9(lake):
     return telemetry.log_search(telemetry.server_log(lake)).select("logged_at", "severity", "message")
 
 
-@query("t9_log_by_text", f"SELECT logged_at, message FROM {_LOG_SQL} WHERE message LIKE '%Login failed%'")
+@query("t9_log_by_text", f"SELECT logged_at, message FROM {_LOG_SQL} WHERE message ILIKE '%login failed%'")
 def t9_text(lake):
-    return telemetry.log_search(telemetry.server_log(lake), "Login failed").select("logged_at", "message")
+    return telemetry.log_search(telemetry.server_log(lake), "login failed").select("logged_at", "message")
 
 
 @query("t10_page_life", """

@@ -98,8 +98,8 @@ def w4(lake):
 
 
 @query("w5_running_sum", """
-SELECT event_id, user_id, sum(k) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS running_k
-FROM scans""")
+SELECT event_id, user_id,
+  CAST(sum(k) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_k FROM scans""")
 def w5(lake):
     rows = telemetry.scans(lake).select("event_id", "user_id", "k")
     return running_sum_within(rows, ["user_id"], "event_id", "k", "running_k").drop("k")

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from haulmark.sources.writes import stage
+
 
 def walk_down(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """Every node reachable from a root (a node without parent): root, depth and path of keys.
 
     Each round joins the last level with the nodes on the parent key, so the frontier stays distributed.
+    The two key columns are stored first: a round then reads that narrow table, not the plan behind it.
     A cycle has no root and is not reached; see ``head_blockers`` in the telemetry plans for those.
     """
+    edges = stage(nodes.select(node, parent), "tree")
     return nodes.sparkSession.sql(f"""
         WITH RECURSIVE walk(node, root, parent, depth, path) AS (
             SELECT {node}, {node}, CAST(NULL AS BIGINT), 0, CAST({node} AS STRING)
@@ -19,4 +23,4 @@ def walk_down(nodes: DataFrame, node: str, parent: str) -> DataFrame:
             SELECT n.{node}, w.root, w.node, w.depth + 1, w.path || '/' || CAST(n.{node} AS STRING)
             FROM {{nodes}} n JOIN walk w ON n.{parent} = w.node
         )
-        SELECT node, root, parent, depth, path FROM walk""", nodes=nodes.select(node, parent))
+        SELECT node, root, parent, depth, path FROM walk""", nodes=edges)

@@ -6,6 +6,7 @@ shared folder; everything else is a view. Timestamps have no time zone and are U
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,13 @@ class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
+        self._stored: dict[str, DataFrame] = {}
+
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table that several steps read: written on first use, then read from the shared folder."""
+        if name not in self._stored:
+            self._stored[name] = stage(make(), name)
+        return self._stored[name]
 
     def table(self, name: str) -> DataFrame:
         return scan(self.spark, self.sf_dir, name)
@@ -576,7 +584,10 @@ class Lake:
     # ---------------------------------------------------------------- rates and finance
     @cached_property
     def rate_cards(self) -> DataFrame:
-        """Rate history: zone x tier x period, expanded from two literal arrays (no cross join)."""
+        """Rate history: zone x tier x period, expanded from two literal arrays (no cross join).
+
+        A card is for a pair of zones; all current cards price by the origin zone, so both are the same.
+        """
         tiers = F.array(*[F.struct(F.lit(i).alias("tier_no"), F.lit(t).alias("service_tier"),
                                    F.lit(b).alias("base"), F.lit(s).alias("per_kg"))
                           for i, (t, (b, s)) in enumerate(X.RATE_BASE.items())])
@@ -588,7 +599,7 @@ class Lake:
         return (self.service_zones.select("zone_id", "country_code", F.explode(tiers).alias("t"))
                 .select("*", "t.*", F.explode(periods).alias("p")).select("*", "p.*")
                 .select((_c("zone_id") * 9 + _c("tier_no") * 3 + _c("period_no") + 1).alias("rate_card_id"),
-                        "service_tier", "zone_id",
+                        "service_tier", "zone_id", _c("zone_id").alias("dest_zone_id"),
                         F.lit("0.00").cast("decimal(8,2)").alias("min_weight_kg"),
                         F.lit("999.99").cast("decimal(8,2)").alias("max_weight_kg"),
                         (_c("base") / step * factor).cast("decimal(10,2)").alias("base_rate"),

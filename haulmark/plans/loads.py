@@ -20,10 +20,7 @@ LOAD_ORDER = [
 
 
 class Warehouse(Mapping):
-    """The stored tables by name. A table is written when it is first asked for, and only once.
-
-    The number of rows is observed during the write, so counting costs no further scan.
-    """
+    """The stored tables by name. A table is written when it is first asked for, and only once."""
 
     def __init__(self, lake) -> None:
         self._lake = lake

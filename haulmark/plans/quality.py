@@ -147,7 +147,8 @@ RULES: dict[str, Rules] = {
         orders={"shift": "shift_end > shift_start"},
         required=["driver_id", "vehicle_id", "route_id", "assignment_date"], lengths={"assignment_status": 20}),
     "rate_cards": Rules(
-        [["rate_card_id"]], refs=[("zone_id", "service_zones", "zone_id")],
+        [["rate_card_id"]],
+        refs=[("zone_id", "service_zones", "zone_id"), ("dest_zone_id", "service_zones", "zone_id")],
         domains={"service_tier": one_of("service_tier", X.SERVICE_TIERS)},
         orders={"weight_band": "min_weight_kg >= 0 AND max_weight_kg > min_weight_kg",
                 "base_rate": "base_rate >= 0",
@@ -199,8 +200,9 @@ def row_rule_report(name: str, df: DataFrame, predicates: dict[str, str]) -> Dat
 
 
 def unique_report(name: str, df: DataFrame, key: list[str]) -> DataFrame:
-    """Number of key values that occur more than once; nulls count as equal."""
-    repeats = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    """Number of key values that occur more than once. Nulls count as equal, and text ignores case."""
+    values = [F.lower(c) if df.schema[c].dataType.typeName() == "string" else F.col(c) for c in key]
+    repeats = df.groupBy(*values).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return repeats.agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit(name).alias("table_name"), F.lit("unique:" + ",".join(key)).alias("rule"), "violations")
 

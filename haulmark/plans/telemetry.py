@@ -31,7 +31,22 @@ def scans(lake) -> DataFrame:
 
 # ------------------------------------------------------------------------------ sessions and requests
 def sessions(lake) -> DataFrame:
-    """One row per connected session: its newest statement comes from its newest event."""
+    """One row per connected session, taken from the log once."""
+    return lake.once("sessions", lambda: derive_sessions(lake))
+
+
+def requests(lake) -> DataFrame:
+    """The running request of each session that has one, taken from the log once."""
+    return lake.once("requests", lambda: derive_requests(lake))
+
+
+def sql_texts(lake) -> DataFrame:
+    return lake.once("sql-texts", lambda: scans(lake).select(_c("k").alias("sql_id")).distinct().withColumn(
+        "sql_text", F.concat(F.lit("SELECT "), _c("sql_id").cast("string"))))
+
+
+def derive_sessions(lake) -> DataFrame:
+    """The newest statement of a session comes from its newest event."""
     newest = latest_by(scans(lake), ["user_id"], ["event_id"], ["k"])
     u = _c("user_id")
     return newest.select(
@@ -41,8 +56,8 @@ def sessions(lake) -> DataFrame:
         (u % 10 != 0).alias("is_user_process"), _c("k").alias("most_recent_sql_id"))
 
 
-def requests(lake) -> DataFrame:
-    """The running request of each session that has one; a third of the sessions are idle."""
+def derive_requests(lake) -> DataFrame:
+    """The newest event of a session is its running request; a third of the sessions are idle."""
     u, k = _c("user_id"), _c("k")
     newest = latest_by(scans(lake).filter(u % 3 != 0), ["user_id"], ["event_id"], ["event_type", "value", "k"])
     wait = F.round(_c("value") * 1000).cast("long")
@@ -54,11 +69,6 @@ def requests(lake) -> DataFrame:
         (k * 100).cast("long").alias("logical_reads"), k.alias("sql_id"))
 
 
-def sql_texts(lake) -> DataFrame:
-    return scans(lake).select(_c("k").alias("sql_id")).distinct().withColumn(
-        "sql_text", F.concat(F.lit("SELECT "), _c("sql_id").cast("string")))
-
-
 def with_text(lake, rows: DataFrame, sql_id: str = "sql_id", text: str = "sql_text") -> DataFrame:
     """Statement text of a handle, as an equi join."""
     texts = sql_texts(lake).select(_c("sql_id").alias(sql_id), _c("sql_text").alias(text))
@@ -151,7 +161,8 @@ def server_log(lake) -> DataFrame:
 
 
 def log_search(log: DataFrame, text: str | None = None) -> DataFrame:
-    return log if text is None else log.filter(_c("message").contains(text))
+    """All entries, or those that hold a text; case does not matter."""
+    return log if text is None else log.filter(F.lower("message").contains(text.lower()))
 
 
 def counters(lake) -> DataFrame:
@@ -169,7 +180,7 @@ def counters(lake) -> DataFrame:
 
 def page_life(rows: DataFrame) -> DataFrame:
     return rows.filter((_c("counter_name") == "Page life expectancy")
-                       & _c("object_name").like("%Buffer Manager%")).select(
+                       & _c("object_name").ilike("%Buffer Manager%")).select(
         "sample_day", "object_name", "counter_name", "instance_name", _c("counter_value").alias("ple_seconds"),
         (_c("counter_value") < X.LOW_PAGE_LIFE_SECONDS).alias("is_low"))
 

@@ -21,11 +21,20 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def counted_write(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
-    """Write and return the number of rows written, observed during the write itself."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
-    return seen.get["rows"]
+def counted_write(df: DataFrame, path: str) -> int:
+    """Write and return the number of rows written.
+
+    The count comes from the footers of the committed files. A metric observed during the write would count
+    the rows of a repeated task twice.
+    """
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """A frame that reports its row count while it is being used, for progress messages."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def write_by_day(df: DataFrame, ts: str, path: str) -> None:

@@ -23,6 +23,12 @@ def test_counted_write(spark):
     assert writes.counted_write(spark.range(41), path) == 41 == spark.read.parquet(path).count()
 
 
+def test_observed_rows(spark):
+    df, seen = writes.observed(spark.range(17), "seventeen")
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 17}
+
+
 def test_compaction_keeps_rows_and_orders_files(spark):
     source, target = new_path(spark, "many"), new_path(spark, "few")
     spark.range(1000).repartition(20).write.parquet(source)
