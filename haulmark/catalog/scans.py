@@ -178,7 +178,7 @@ def s16(lake):
     """Finance tables are staged, checked and published together."""
     root = new_path(lake.spark, "finance")
     tables = {name: getattr(lake, name) for name in ("invoices", "invoice_lines", "payments")}
-    writes.publish(lake.spark, root, tables, lambda staged: quality.count_violations(staged, row_rules_only=True))
+    writes.publish(lake.spark, root, tables, quality.count_violations)
     amounts = {"invoices": "total_amount", "invoice_lines": "line_amount", "payments": "amount_paid"}
     parts = [writes.current(lake.spark, root, name).agg(
         F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"),
@@ -208,6 +208,23 @@ def s18(lake):
     return lake.spark.createDataFrame(rows, "stage int, table_name string, rows_written bigint")
 
 
+@query("s18_load_verification", """
+SELECT 'shipments' AS table_name, 'check:sender' AS rule,
+  count(*) FILTER (WHERE (sender_customer_id IS NULL) = (sender_account_id IS NULL)) AS violations FROM shipments
+UNION ALL SELECT 'tracking_events', 'reference:operator_id->employees', count(*) FROM staffed_events
+  WHERE operator_id IS NOT NULL AND operator_id NOT IN (SELECT employee_id FROM employees)
+UNION ALL SELECT 'freight_bills', 'has_pallets', count(*) FROM freight_bills
+  WHERE freight_bill_id NOT IN (SELECT freight_bill_id FROM pallets)
+UNION ALL SELECT 'tracking_events', 'time_order', count(*) FROM (
+  SELECT event_ts, lag(event_ts) OVER (PARTITION BY entity_type, entity_id ORDER BY event_id) AS p FROM tracking_events) e
+  WHERE event_ts < p""")
+def s18_verification(lake):
+    """The verification that follows a load; a load with violations raises."""
+    report = quality.verification_report(lake.warehouse, lake.staffed_events)
+    quality.require_clean(report)
+    return report
+
+
 @query("s19_time_partitioned_log", """
 SELECT CAST(ts AS DATE) AS event_day, event_type, count(*) AS n FROM events
 WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-15' GROUP BY 1, 2""", dates="event_day")

@@ -260,6 +260,14 @@ def structure_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     return bills.unionAll(late)
 
 
+def verification_report(tables: Mapping[str, DataFrame], staffed_events: DataFrame) -> DataFrame:
+    """The checks every load has to pass: one sender, known operators, bills with pallets, events in order."""
+    sender = row_rule_report("shipments", tables["shipments"], row_predicates(RULES["shipments"], ("xors",)))
+    operators = reference_report("tracking_events", staffed_events, "operator_id", "employees",
+                                 tables["employees"], "employee_id")
+    return union_all([sender, operators, structure_rules(tables)])
+
+
 def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every declared rule of every table in one report."""
     parts = [row_rules(tables), key_rules(tables), reference_rules(tables), structure_rules(tables)]
@@ -277,10 +285,9 @@ def require_clean(report: DataFrame) -> None:
         raise RuleViolation("; ".join(f"{r.table_name} {r.rule}: {r.violations}" for r in bad))
 
 
-def count_violations(tables: Mapping[str, DataFrame], row_rules_only: bool = False) -> int:
-    report = row_rules(tables)
-    if not row_rules_only:
-        report = report.unionAll(key_rules(tables)).unionAll(reference_rules(tables))
+def count_violations(tables: Mapping[str, DataFrame]) -> int:
+    """Violations of the row, key and reference rules; references out of the given tables are not followed."""
+    report = union_all([row_rules(tables), key_rules(tables), reference_rules(tables)])
     return report.agg(F.coalesce(F.sum("violations"), F.lit(0)).cast("long")).first()[0]
 
 
