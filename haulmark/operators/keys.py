@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 from haulmark.session import new_path
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in its lower 33 bits
+_RANGE_BYTES = 256 << 20  # aimed size of a range partition, small enough to sort in memory
+_MAX_RANGES = 100_000
+
+
+def range_count(df: DataFrame) -> int:
+    """Number of ranges for a scan: the session's shuffle partitions, more where its size calls for it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(-(-size // _RANGE_BYTES), _MAX_RANGES)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
 def dense_keys(df: DataFrame, order: list[str], key: str, start: int = 1,
@@ -24,7 +33,7 @@ def dense_keys(df: DataFrame, order: list[str], key: str, start: int = 1,
     scan or a stored table; number narrow rows first and join the rest on afterwards.
     """
     spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or range_count(df)
     path = new_path(spark, f"keys-{key}")
     placed = (df.repartitionByRange(parts, *order)
               .sortWithinPartitions(*order)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulmark.operators.joins import found_in
 from haulmark.operators.ordered import lag_within, latest_by
 from haulmark.session import new_path
 from haulmark.streaming.source import event_stream, run_to_end
@@ -37,7 +38,9 @@ def late_events(spark: SparkSession, pattern: str, files_per_batch: int = 64,
         newest = merged.agg(F.max("late_ts")).scalar()
         (last.filter(_c("late_ts") >= newest - F.expr(f"INTERVAL {idle_days} DAY"))
              .write.mode("overwrite").parquet(f"{memory}/{batch_id}"))
-        seen = lag_within(merged, ["user_id"], "event_id", "late_ts", "previous_ts")
+        # Only entities of this batch need their last event again.
+        here = found_in(known, rows, "user_id").unionByName(rows.select("user_id", "event_id", "late_ts"))
+        seen = lag_within(here, ["user_id"], "event_id", "late_ts", "previous_ts")
         found = (seen.filter(_c("late_ts") < _c("previous_ts"))
                  .join(known.select("user_id", "event_id"), ["user_id", "event_id"], "left_anti"))
         found.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")

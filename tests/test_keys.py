@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from haulmark.operators import keys
 from haulmark.operators.keys import append_keys, dense_keys, high_water
 from tests.conftest import rows
 
@@ -34,3 +35,10 @@ def test_empty_input(spark):
 def test_numbers_do_not_change_when_read_again(spark):
     keyed = dense_keys(spark.range(1000).select((F.col("id") * 13 % 1000).alias("x")), ["x"], "k", partitions=5)
     assert rows(keyed) == rows(keyed)
+
+
+def test_large_scans_get_more_ranges(spark, lake, monkeypatch):
+    rows_ = lake.table("lineitem").select("l_orderkey", "l_linenumber")
+    assert keys.range_count(rows_) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(keys, "_RANGE_BYTES", 1000)
+    assert 10 < keys.range_count(rows_) <= keys._MAX_RANGES
