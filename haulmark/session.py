@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,3 +46,14 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder; nothing is ever overwritten there."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that functions of it run on any executor."""
+    context = spark.sparkContext
+    if getattr(context, "_haulmark_shipped", False):
+        return
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="haulmark-"), "haulmark"), "zip", home, "haulmark")
+    context.addPyFile(os.path.realpath(archive))
+    context._haulmark_shipped = True
