@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from haulmark.llm import chat, licenses, toxicity
+from haulmark.llm import chat, decontaminate, licenses, secrets, toxicity
 from haulmark.llm.common import read
 from haulmark.llm.oracles import ORACLES  # noqa: F401
 
@@ -13,6 +13,15 @@ def op1_toxicity(spark, sf_dir):
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "toxic_tokens", "spans")
 
 
+def op2_secret_scan(spark, sf_dir):
+    return secrets.report(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.report(read(spark, sf_dir, "documents", "doc_id", "text"),
+                                read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op8_license_scan(spark, sf_dir):
     return licenses.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
 

@@ -7,7 +7,8 @@ hashed features of each token and transition weights, and is fitted by gradient
 Forward-backward gives each token's marginal; a logistic model on their sum, maximum and share is the
 document's score.
 
-The fit reads at most ``MAX_TRAINING_DOCS`` labelled documents, taken in the order of a hash of their id; the
+Copies of one document, which share their four smallest word hashes, count once in the fit: otherwise every word
+of a toxic document with many copies would look toxic. The fit reads at most ``MAX_TRAINING_DOCS`` labelled documents, taken in the order of a hash of their id; the
 model has a fixed size and goes to all tasks. Scoring treats every whole text. All tokens of a run of texts are
 one chain, in which the first token of each text forgets the state before it, so the two passes run over many
 short stretches side by side.
@@ -32,7 +33,7 @@ from haulmark.llm.common import map_batches
 
 MAX_TRAINING_DOCS = 4000
 SEED_LOG_ODDS = 3.0
-MIN_SEED_DOCS = 4
+MIN_SEED_DOCS = 8
 EPOCHS = 40
 REJECT = 0.7
 
@@ -131,9 +132,9 @@ def marginals(slots: list[np.ndarray], first: np.ndarray, model: Model) -> np.nd
     return toxic / (toxic + (1 - ahead) * (1 - behind))
 
 
-def _first(found: text.Words) -> np.ndarray:
-    first = np.zeros(len(found.starts), dtype=bool)
-    first[found.bounds[:-1][np.diff(found.bounds) > 0]] = True
+def _first(bounds: np.ndarray) -> np.ndarray:
+    first = np.zeros(bounds[-1], dtype=bool)
+    first[bounds[:-1][np.diff(bounds) > 0]] = True
     return first
 
 
@@ -149,71 +150,112 @@ def _evidence(p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.stack([np.log1p(total), top, total / np.maximum(count, 1), np.ones(len(count))], axis=1), total
 
 
-def _token_labels(slots: list[np.ndarray], found: text.Words, toxic: np.ndarray) -> np.ndarray:
-    owner = found.text_of_word()
-    marked = np.zeros(len(owner), dtype=bool)
+def _token_labels(by_piece: list, bounds: list, toxic: np.ndarray) -> list[np.ndarray]:
+    """Per piece, which tokens the document labels mark as toxic."""
+    owners, base = [], 0
+    for ends in bounds:
+        owners.append(np.repeat(np.arange(base, base + len(ends) - 1), np.diff(ends)))
+        base += len(ends) - 1
+    marked = [np.zeros(len(o), dtype=bool) for o in owners]
     n_toxic, n_clean = toxic.sum(), (~toxic).sum()
-    for slot in slots:
-        pairs = np.unique(owner.astype(np.int64) * _SLOTS + slot)
-        held, by = pairs % _SLOTS, toxic[pairs // _SLOTS]
-        in_toxic = np.bincount(held[by], minlength=_SLOTS)
-        in_clean = np.bincount(held[~by], minlength=_SLOTS)
-        odds = np.log((in_toxic + 0.5) / (n_toxic + 1)) - np.log((in_clean + 0.5) / (n_clean + 1))
-        marked |= ((odds >= SEED_LOG_ODDS) & (in_toxic >= MIN_SEED_DOCS))[slot]
-    return marked & toxic[owner]
+    for template in range(1 + len(_PREFIXES)):
+        docs_with = np.zeros((2, _SLOTS))  # clean and toxic documents that hold the feature
+        for slots, owner in zip(by_piece, owners, strict=True):
+            pairs = np.unique(owner * _SLOTS + slots[template])
+            for kind in (0, 1):
+                docs_with[kind] += np.bincount(pairs[toxic[pairs // _SLOTS] == kind] % _SLOTS, minlength=_SLOTS)
+        odds = np.log((docs_with[1] + 0.5) / (n_toxic + 1)) - np.log((docs_with[0] + 0.5) / (n_clean + 1))
+        telling = (odds >= SEED_LOG_ODDS) & (docs_with[1] >= MIN_SEED_DOCS)
+        for k, slots in enumerate(by_piece):
+            marked[k] |= telling[slots[template]]
+    return [m & toxic[o] for m, o in zip(marked, owners, strict=True)]
+
+
+def _slope(slots: list[np.ndarray], first: np.ndarray, truth: np.ndarray, model: Model) -> list[np.ndarray]:
+    """Slope of the log-likelihood in the weights, the bias, the moves and the opening."""
+    energy = _energy(slots, model)
+    ahead, behind = _chain(energy, first, model)
+    p = ahead * behind
+    p /= p + (1 - ahead) * (1 - behind)
+    miss = truth - p
+    t, follows = np.exp(model.moves), np.flatnonzero(~first)
+    came, goes = ahead[follows - 1], behind[follows]
+    rise = goes * np.exp(np.clip(energy[follows], -15, 15))
+    total = (1 - came) * (t[0, 0] * (1 - goes) + t[0, 1] * rise) + came * (t[1, 0] * (1 - goes) + t[1, 1] * rise)
+    expected = t * np.array([[((1 - came) * (1 - goes) / total).sum(), ((1 - came) * rise / total).sum()],
+                             [(came * (1 - goes) / total).sum(), (came * rise / total).sum()]])
+    seen = np.bincount((truth[follows - 1] * 2 + truth[follows]).astype(np.int64), minlength=4).reshape(2, 2)
+    opens = miss[first].sum()
+    return [np.stack([np.bincount(s, weights=miss, minlength=_SLOTS) for s in slots]), np.array([miss.sum()]),
+            seen - expected, np.array([-opens, opens])]
+
+
+def _logistic(seen: np.ndarray, truth: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Newton steps of a logistic model with a small ridge; a step that does not gain is halved."""
+    ridge = np.array([0.1, 0.1, 0.1, 1e-3])
+
+    def gain(w):
+        z = seen @ w
+        return (truth * z - np.logaddexp(0, z)).sum() - 0.5 * (ridge * w * w).sum()
+
+    for _ in range(30):
+        q = 1 / (1 + np.exp(-np.clip(seen @ w, -30, 30)))
+        step = np.linalg.solve((seen * (q * (1 - q))[:, None]).T @ seen + np.diag(ridge), seen.T @ (truth - q) - ridge * w)
+        while gain(w + step) < gain(w) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w + step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def _distinct(texts: list[str]) -> list[int]:
+    """One text of each group that shares its four smallest word hashes."""
+    seen: dict[bytes, int] = {}
+    for row, end, data, offsets in text.pieces(pa.array(texts, pa.string())):
+        found = text.words(data, offsets, text.ALNUM)
+        for d in range(end - row):
+            least = np.unique(found.hashes[found.bounds[d]:found.bounds[d + 1]])[:4]
+            seen.setdefault(least.tobytes(), row + d)
+    return sorted(seen.values())
 
 
 def fit(texts: list[str], labels: list[int]) -> Model:
     """The model for labelled texts."""
+    kept = _distinct(texts)
+    texts, labels = [texts[k] for k in kept], [labels[k] for k in kept]
     toxic = np.array(labels, dtype=bool)
     model = Model(np.zeros((1 + len(_PREFIXES), _SLOTS), dtype=np.float32))
     share = (toxic.sum() + 1) / (len(toxic) + 2)
     model.document[3] = np.log(share / (1 - share))
     if toxic.all() or not toxic.any():
         return model
-    parts = list(text.pieces(pa.array(texts, pa.string()), max_bytes=1 << 40))
-    found = text.words(parts[0][2], parts[0][3], text.ALNUM)
-    if not len(found.starts):
-        return model
-    slots, first = features(found), _first(found)
-    truth = _token_labels(slots, found, toxic).astype(np.float64)
-    follows = np.flatnonzero(~first)
+    by_piece, bounds = [], []
+    for _, _, data, offsets in text.pieces(pa.array(texts, pa.string())):
+        found = text.words(data, offsets, text.ALNUM)
+        by_piece.append(features(found))
+        bounds.append(found.bounds)
+    truth = _token_labels(by_piece, bounds, toxic)
+    n_marked = sum(t.sum() for t in truth)
     theta = [model.weights, np.zeros(1), model.moves, model.opening]
-    mean, square = [np.zeros(x.shape) for x in theta], [np.zeros(x.shape) for x in theta]
-    scale = 1.0 / max(1.0, truth.sum())
+    mean, square = [np.zeros_like(x) for x in theta], [np.zeros_like(x) for x in theta]
     for epoch in range(1, EPOCHS + 1):
         model.bias = float(theta[1][0])
-        energy = _energy(slots, model)
-        ahead, behind = _chain(energy, first, model)
-        p = ahead * behind
-        p /= p + (1 - ahead) * (1 - behind)
-        miss = truth - p
-        t = np.exp(model.moves)
-        pair = np.empty((len(follows), 2, 2))
-        came = np.stack([1 - ahead[follows - 1], ahead[follows - 1]], axis=1)
-        goes = np.stack([1 - behind[follows], behind[follows] * np.exp(np.clip(energy[follows], -15, 15))], axis=1)
-        for i in range(2):
-            for j in range(2):
-                pair[:, i, j] = came[:, i] * t[i, j] * goes[:, j]
-        expected = (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        del pair
-        seen = np.bincount((truth[follows - 1] * 2 + truth[follows]).astype(np.int64), minlength=4).reshape(2, 2)
-        opens = np.array([(1 - truth[first]).sum() - (1 - p[first]).sum(), truth[first].sum() - p[first].sum()])
-        slope = [np.stack([np.bincount(s, weights=miss, minlength=_SLOTS) for s in slots]) * scale - 1e-4 * theta[0],
-                 np.array([miss.sum() * scale]), (seen - expected) * scale, opens * scale]
+        slope = [np.zeros(x.shape) for x in theta]
+        for slots, ends, marked in zip(by_piece, bounds, truth, strict=True):
+            if ends[-1]:
+                for total, part in zip(slope, _slope(slots, _first(ends), marked.astype(np.float64), model), strict=True):
+                    total += part
         for k, g in enumerate(slope):
+            g /= max(1.0, n_marked)
+            g -= 1e-4 * theta[k] * (k == 0)
             mean[k] = 0.9 * mean[k] + 0.1 * g
             square[k] = 0.99 * square[k] + 0.01 * g * g
-            rise = 0.3 * (mean[k] / (1 - 0.9 ** epoch)) / (np.sqrt(square[k] / (1 - 0.99 ** epoch)) + 1e-6)
-            theta[k] += rise.astype(theta[k].dtype)
+            theta[k] += 0.3 * (mean[k] / (1 - 0.9 ** epoch)) / (np.sqrt(square[k] / (1 - 0.99 ** epoch)) + 1e-6)
     model.bias = float(theta[1][0])
-    seen, _ = _evidence(marginals(slots, first, model), found.bounds)
-    w = model.document
-    for _ in range(25):  # Newton steps of a logistic model with a small ridge
-        q = 1 / (1 + np.exp(-seen @ w))
-        ridge = np.diag([1e-2, 1e-2, 1e-2, 1e-6])
-        w = w + np.linalg.solve((seen * (q * (1 - q))[:, None]).T @ seen + ridge, seen.T @ (toxic - q) - ridge @ w)
-    model.document = w
+    seen = np.concatenate([_evidence(marginals(slots, _first(ends), model), ends)[0]
+                           for slots, ends in zip(by_piece, bounds, strict=True)])
+    model.document = _logistic(seen, toxic, model.document)
     return model
 
 
@@ -233,7 +275,7 @@ def _scored(column: pa.Array, model: Model):
     score, total, spans = [], [], []
     for _, _, data, offsets in text.pieces(column):
         found = text.words(data, offsets, text.ALNUM)
-        p = marginals(features(found), _first(found), model)
+        p = marginals(features(found), _first(found.bounds), model)
         seen, sums = _evidence(p, found.bounds)
         score.append(1 / (1 + np.exp(-np.clip(seen @ model.document, -500, 500))))
         total.append(sums)
