@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from haulmark.session import ship_package
 from haulmark.sources.writes import stage
 
-__all__ = ["read", "map_batches", "record_batch", "stage", "components"]
+__all__ = ["components", "map_batches", "read", "record_batch", "stage"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from haulmark.llm import chat, decontaminate, licenses, secrets, toxicity
+from haulmark.llm import chat, decontaminate, embeddings, licenses, ngram_join, secrets, toxicity
 from haulmark.llm.common import read
 from haulmark.llm.oracles import ORACLES  # noqa: F401
 
@@ -17,6 +17,14 @@ def op2_secret_scan(spark, sf_dir):
     return secrets.report(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_ngram_join(spark, sf_dir):
+    return ngram_join.report(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_embedding_dedup(spark, sf_dir):
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.report(read(spark, sf_dir, "documents", "doc_id", "text"),
                                 read(spark, sf_dir, "benchmark", "item_id", "text"))
