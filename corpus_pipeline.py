@@ -1,9 +1,15 @@
-"""A training corpus from the documents table: the stages, and the run over all of them."""
+"""A training corpus from the documents table: the stages, and the run over all of them.
+
+Every stage reads what its predecessor kept as a stored table and, but for the last, returns its columns.
+"""
 
 from __future__ import annotations
 
-from haulmark.llm import toxicity
+from pyspark.sql import functions as F
+
+from haulmark.llm import decontaminate, ngram_join, pieces, secrets, toxicity
 from haulmark.llm.common import read, stage
+from haulmark.llm.queries import piece_model
 
 
 def drop_toxic(spark, docs, sf_dir):
@@ -12,9 +18,38 @@ def drop_toxic(spark, docs, sf_dir):
     return toxicity.toxicity(docs, labels).filter("predicted = 0").select(*docs.columns)
 
 
-STAGES = [("toxicity", drop_toxic)]
+def drop_near_copies(spark, docs, sf_dir):
+    """Of documents linked by five-word shingles with a similarity of 0.8 or more, the one with the smallest id stays.
+    Documents without words or id stay."""
+    found = ngram_join.report(docs, width=5, percent=80)
+    kept = found.filter("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_benchmark(spark, docs, sf_dir):
+    """Passages of benchmark items are cut out of the texts."""
+    return _counted(decontaminate.remove(docs, read(spark, sf_dir, "benchmark", "item_id", "text")))
+
+
+def mask_secrets(spark, docs, sf_dir):
+    """Secrets in the texts are masked."""
+    return _counted(secrets.redact(docs))
+
+
+def encode(spark, docs, sf_dir):
+    """Token ids of each text."""
+    return pieces.encode(docs.select("doc_id", "text"), piece_model()).drop("text")
+
+
+def _counted(docs):
+    """``n_chars``, where there is one, follows the text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+STAGES = [("toxicity", drop_toxic), ("ngram_join", drop_near_copies), ("decontamination", cut_benchmark),
+          ("secrets", mask_secrets), ("pieces", encode)]
 
-ORACLE_SQL = None  # no stage can be said in SQL
+ORACLE_SQL = None  # the model, the index and the search of the stages cannot be said in SQL
 
 
 def run(spark, sf_dir):

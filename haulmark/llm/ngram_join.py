@@ -5,8 +5,9 @@ similarity reaches the threshold share at least t = ceil(threshold * n) shingles
 shingles, in any common order, share at least k. The order is rare first, by a counting sketch over all shingles,
 and k = 1 + n // 50, the smaller of both nodes'. Lists hold prefixes only, and lists of one node go.
 
-1. Each node is compared with the first node of the lists that they share most of. In a large group of copies this
-   links nearly all, with one pair per node.
+1. Each node is compared with one node of another component: the first node of the lists that they share most of. A
+   few turns, each with another order of the nodes, link nearly all of a large group of copies with one pair per
+   node and turn.
 2. The exact search covers what is left: only lists that still hold nodes of different components, and only pairs of
    different components. Short lists, and all lists of a node whose prefix has so many long ones that k could be
    reached by these alone, come to the querying node and are heap-merged; the other long lists are probed by binary
@@ -33,6 +34,7 @@ from haulmark.llm import sketch, text
 from haulmark.llm.common import components, map_batches, record_batch, stage
 
 LONG_LIST = 256
+LEADER_TURNS = 3
 _ADD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -65,7 +67,7 @@ def _k(n):
 
 
 def signed_sets(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, node and the prefix (upper halves of the hashes, in rare-first order) of each row."""
+    """doc_id, n, node and the prefix (hashes, in rare-first order) of each row."""
     docs = documents.select("doc_id", "text")
 
     def all_hashes(batch):
@@ -81,14 +83,14 @@ def signed_sets(documents: DataFrame, width: int, percent: int) -> DataFrame:
             place = np.arange(len(hashes)) - bounds[owner]
             kept = order[place < np.minimum(n, n - _needed(n, percent) + _k(n))[owner]]
             ends = np.concatenate([[0], np.cumsum(np.bincount(owner[kept], minlength=len(n)))])
-            lists = (hashes[kept] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            lists = hashes[kept].view(np.int64)
             size.append(n)
             node.append(_node(hashes, bounds))
             prefix.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lists)))
         yield record_batch(doc_id=batch.column(0), n=pa.array(np.concatenate(size or [np.zeros(0, np.int64)]), pa.int64()),
                            node=pa.array(np.concatenate(node or [np.zeros(0, np.int64)])),
-                           prefix=pa.concat_arrays(prefix) if prefix else pa.array([], pa.list_(pa.int32())))
-    return stage(map_batches(docs, "doc_id long, n long, node long, prefix array<int>", each), "jaccard-sets")
+                           prefix=pa.concat_arrays(prefix) if prefix else pa.array([], pa.list_(pa.int64())))
+    return stage(map_batches(docs, "doc_id long, n long, node long, prefix array<long>", each), "jaccard-sets")
 
 
 def _compatible(a: Column, b: Column, percent: int) -> Column:
@@ -126,22 +128,37 @@ def verified(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -
     return stage(map_batches(joined.select("a", "b", "text_a", "text_b"), "a long, b long", each), "jaccard-links")
 
 
-def _first_pairs(shared: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """Each node with the first node of the lists that both are in most often."""
-    return (shared.join(lists, "list").filter(
-        (F.col("node") != F.col("leader.node")) & _compatible(F.col("n"), F.col("leader.n"), percent))
+def _mixed(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Entries (list, node, n, component) of the lists that still hold different components."""
+    if labels is None:
+        return shared.withColumn("component", F.col("node"))
+    rows = (shared.join(labels, "node", "left")
+            .select("list", "node", "n", F.coalesce("component", "node").alias("component")))
+    mixed = (rows.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+             .filter("low <> high").select("list"))
+    return stage(rows.join(mixed, "list"), "jaccard-mixed")
+
+
+def _leader_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each node with one node of another component: the first, by this turn's order, of the lists it shares most."""
+    first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "component")).alias("leader")
+    leaders = stage(rows.groupBy("list").agg(first), "jaccard-leaders")
+    return (rows.join(leaders, "list").filter(
+        (F.col("component") != F.col("leader.component")) & _compatible(F.col("n"), F.col("leader.n"), percent))
         .groupBy("node", F.col("leader.node").alias("b")).agg(F.count(F.lit(1)).alias("times"))
         .groupBy("node").agg(F.max_by("b", F.struct("times", "b")).alias("b")).select(F.col("node").alias("a"), "b"))
 
 
 def _merge(batch: pa.RecordBatch):
-    """Heap-merge of a node's lists: each candidate and the number of lists that it is in."""
+    """Heap-merge of a node's lists: the candidates that are in enough of them, and in how many."""
     query, candidate, times = [], [], []
-    for node, lists in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+    for node, lists, least in zip(*(c.to_pylist() for c in batch.columns), strict=True):
         for other, run in groupby(heapq.merge(*lists)):
-            query.append(node)
-            candidate.append(other)
-            times.append(sum(1 for _ in run))
+            found = sum(1 for _ in run)
+            if found >= least:
+                query.append(node)
+                candidate.append(other)
+                times.append(found)
     yield record_batch(a=pa.array(query, pa.int64()), b=pa.array(candidate, pa.int64()), times=pa.array(times, pa.int64()))
 
 
@@ -158,13 +175,9 @@ def _probe(batch: pa.RecordBatch):
     yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
 
 
-def _rest(shared: DataFrame, lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _rest(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs between the components so far."""
-    rows = (shared.join(labels, "node", "left")
-            .select("list", "node", "n", F.coalesce("component", "node").alias("component")))
-    mixed = (rows.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .filter("low <> high").select("list").join(lists.select("list", "size"), "list"))
-    rows = stage(rows.join(mixed, "list").withColumn("long", F.col("size") > LONG_LIST), "jaccard-mixed")
+    rows = stage(rows.join(lists, "list").withColumn("long", F.col("size") > LONG_LIST), "jaccard-entries")
     # A partner may be smaller, and then so is its k: the smallest k that a pair with this node can have.
     least_k = F.floor(F.floor(F.col("n") * percent / 100) / 50) + 1
     heavy = (rows.filter("long").groupBy("node").agg(F.max(least_k).alias("least"), F.array_sort(F.collect_set("list")).alias("longs"))
@@ -172,17 +185,20 @@ def _rest(shared: DataFrame, lists: DataFrame, labels: DataFrame, percent: int)
     heavy = stage(heavy.select("node", "longs", "heavy"), "jaccard-long")
     merged = rows.join(heavy.filter("heavy").select("node", "heavy"), "node", "left").filter("NOT long OR heavy")
     merged = stage(merged.select("list", "node", "n", "component", "size"), "jaccard-merged")
+    light = heavy.filter("NOT heavy").select("node", "longs")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("size") / LONG_LIST))
     members = (merged.groupBy("list", F.pmod(F.xxhash64("node"), chunks).alias("chunk"))
                .agg(F.array_sort(F.collect_list(F.struct("node", "n", "component"))).alias("members")))
     members = stage(members.select("list", "members"), "jaccard-chunks")
     asked = merged.join(members, "list").withColumn("members", F.filter("members", lambda m: (
         (m["node"] < F.col("node")) & (m["component"] != F.col("component")) & _compatible(m["n"], F.col("n"), percent))))
-    lists_of = (asked.filter(F.size("members") > 0).select("node", F.col("members.node").alias("others"))
-                .groupBy("node").agg(F.collect_list("others").alias("lists")))
+    lists_of = (asked.filter(F.size("members") > 0).select("node", "n", F.col("members.node").alias("others"))
+                .groupBy("node").agg(F.collect_list("others").alias("lists"), F.max(least_k).alias("least")))
+    # Who is in too few merged lists cannot reach the number needed, even with all of the node's long lists.
+    lists_of = (lists_of.join(light, "node", "left").select(
+        "node", "lists", (F.col("least") - F.coalesce(F.size("longs"), F.lit(0))).alias("least")))
     found = map_batches(lists_of, "a long, b long, times long", _merge)
     sizes = merged.select("node", "n").distinct()
-    light = heavy.filter("NOT heavy").select("node", "longs")
     for side in ("a", "b"):
         found = (found.join(sizes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
                  .join(light.select(F.col("node").alias(side), F.col("longs").alias(f"longs_{side}")), side, "left"))
@@ -198,11 +214,12 @@ def join(documents: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataF
     entries = nodes.select("node", "n", F.explode("prefix").alias("list"))
     repeated = stage(entries.groupBy("list").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "jaccard-repeated")
     shared = stage(entries.join(repeated, "list").select("list", "node", "n").distinct(), "jaccard-shared")
-    lists = stage(shared.groupBy("list").agg(F.min(F.struct("node", "n")).alias("leader"), F.count(F.lit(1)).alias("size")),
-                  "jaccard-lists")
-    links = verified(_first_pairs(shared, lists, percent), documents, width, percent)
-    labels = components(links, "a", "b")
-    more = verified(_rest(shared, lists, labels, percent), documents, width, percent)
+    links, labels = None, None
+    for turn in range(LEADER_TURNS):
+        found = verified(_leader_pairs(_mixed(shared, labels), turn, percent), documents, width, percent)
+        links = found if links is None else stage(links.union(found), "jaccard-all")
+        labels = components(links, "a", "b")
+    more = verified(_rest(_mixed(shared, labels), repeated, percent), documents, width, percent)
     return sets.select("doc_id", "n", "node"), components(stage(links.union(more), "jaccard-all"), "a", "b")
 
 

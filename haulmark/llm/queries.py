@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from haulmark.llm import chat, decontaminate, embeddings, licenses, ngram_join, secrets, toxicity
+from haulmark.llm import chat, decontaminate, embeddings, licenses, ngram_join, passages, pieces, secrets, toxicity
 from haulmark.llm.common import read
 from haulmark.llm.oracles import ORACLES  # noqa: F401
 
 
+def piece_model() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_toxicity(spark, sf_dir):
     scored = toxicity.toxicity(read(spark, sf_dir, "documents", "doc_id", "text"),
                                read(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -21,6 +26,14 @@ def op3_ngram_join(spark, sf_dir):
     return ngram_join.report(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_sentencepiece(spark, sf_dir):
+    return pieces.encode(read(spark, sf_dir, "documents", "doc_id", "text"), piece_model()).drop("text")
+
+
+def op5_substring_dedup(spark, sf_dir):
+    return passages.report(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_embedding_dedup(spark, sf_dir):
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
