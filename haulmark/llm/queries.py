@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from haulmark.llm import chat, decontaminate, embeddings, licenses, ngram_join, passages, pieces, secrets, toxicity
+from haulmark.llm import chat, decontaminate, embeddings, licenses, ngram_join, passages, pieces, secrets, token_files, toxicity
 from haulmark.llm.common import read
 from haulmark.llm.oracles import ORACLES  # noqa: F401
 
@@ -47,6 +47,11 @@ def op8_license_scan(spark, sf_dir):
     return licenses.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_token_files(spark, sf_dir):
+    import public_tokenizers
+    return token_files.report(read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_chat_format(spark, sf_dir):
     return chat.collapse_and_render(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
