@@ -174,7 +174,7 @@ UNION ALL SELECT 'damaged copy', count(*), TRUE, FALSE FROM shipments
 UNION ALL SELECT 'short copy', count(*) - 1, FALSE, FALSE FROM shipments""")
 def q12(lake):
     """A stored copy against its source: row count and order-free content hash."""
-    source = lake.shipments.select("shipment_id", "tracking_number", "shipment_status", "retail_amount", "created_at")
+    source = stage(lake.shipments, "source")
     copies = {
         "good copy": stage(source, "copy"),
         "damaged copy": source.withColumn("shipment_status", F.when(_c("shipment_id") == 7, "Lost")
@@ -194,7 +194,7 @@ _PROFILED = ["service_tier", "shipment_status", "retail_payment_method", "sender
 
 @query("q13_column_profile", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS nulls, "
-    f"min(CAST({c} AS VARCHAR)) AS smallest, max(CAST({c} AS VARCHAR)) AS largest, "
+    f"CAST(min({c}) AS VARCHAR) AS smallest, CAST(max({c}) AS VARCHAR) AS largest, "
     f"date_diff('day', max(CAST(created_at AS DATE)), DATE '{X.AS_OF}') AS age_days FROM shipments" for c in _PROFILED))
 def q13(lake):
     """Statistics of the columns and the age of the newest row."""

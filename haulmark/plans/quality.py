@@ -295,16 +295,19 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Column statistics in one scan: rows, nulls, distinct values, smallest and largest value."""
     stats = []
     for c in columns:
-        text = F.col(c).cast("string")
         stats.append(F.struct(
             F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("n_rows"),
             F.count_if(F.col(c).isNull()).alias("nulls"),
             F.approx_count_distinct(c, 0.01).alias("approx_distinct"),
-            F.min(text).alias("smallest"), F.max(text).alias("largest")))
+            F.min(c).cast("string").alias("smallest"), F.max(c).cast("string").alias("largest")))
     return df.agg(F.array(*stats).alias("s")).select(F.inline("s"))
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and order-free content hash; decimal sums cannot overflow or cancel pairs."""
-    row_hash = F.xxhash64(*[F.col(c) for c in sorted(df.columns)]).cast("decimal(38,0)")
+    """Row count and order-free content hash; decimal sums cannot overflow or cancel pairs.
+
+    The hash skips nulls, so each column's null flag is hashed as well: a value that moved to another column shows.
+    """
+    parts = [part for c in sorted(df.columns) for part in (F.col(c), F.col(c).isNull())]
+    row_hash = F.xxhash64(*parts).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row_hash).alias("content_hash"))

@@ -132,3 +132,14 @@ def test_fingerprint_sees_paired_duplicates(spark):
     doubled = a.unionAll(spark.createDataFrame([(3, "z"), (3, "z")], "k int, v string"))
     assert Q.fingerprint(a).first() != Q.fingerprint(doubled).first()
     assert Q.fingerprint(a).first() == Q.fingerprint(a.orderBy(F.desc("k")).select("v", "k")).first()
+
+
+def test_fingerprint_sees_a_value_moved_between_null_columns(spark):
+    left = spark.createDataFrame([("a", None)], "x string, y string")
+    right = spark.createDataFrame([(None, "a")], "x string, y string")
+    assert Q.fingerprint(left).first() != Q.fingerprint(right).first()
+
+
+def test_profile_orders_numbers_as_numbers(spark):
+    row = Q.profile(spark.createDataFrame([(9,), (10,), (200,)], "n long"), ["n"]).first()
+    assert (row["smallest"], row["largest"]) == ("9", "200")
