@@ -124,6 +124,14 @@ def shingles(found: Words, width: int, short: bool = True) -> tuple[np.ndarray,
     return out, bounds
 
 
+def run_hashes(tokens: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the runs of ``width`` tokens from ``starts``."""
+    up, down = _powers(max(len(tokens), 1))
+    sums = np.zeros(len(tokens) + 1, dtype=np.uint64)
+    np.cumsum(tokens * up[:len(tokens)], out=sums[1:])
+    return mix((sums[starts + width] - sums[starts]) * down[starts])
+
+
 def char_positions(data: np.ndarray) -> np.ndarray:
     """For each byte offset, and the end, the number of characters before it."""
     before = np.zeros(len(data) + 1, dtype=np.int64)

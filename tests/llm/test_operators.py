@@ -161,6 +161,15 @@ def test_passages(spark):
     assert passages.report(docs(spark, [])).count() == 0
 
 
+def test_passages_behind_a_common_line(spark):
+    """Every pair has a passage of its own that begins with a line that all texts hold."""
+    line = prose(60, 40)
+    rows = [(2 * k + half, f"{prose(100 + 2 * k + half, 60)} {line} {prose(200 + k, 15)} {prose(300 + 2 * k + half, 60)}")
+            for k in range(12) for half in (0, 1)]
+    out = passages.report(docs(spark, rows)).collect()
+    assert {(r["doc_id"], r["first_word"]) for r in out if r["end_word"] >= 115} >= {(doc_id, 60) for doc_id, _ in rows}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     rows = []
