@@ -25,6 +25,12 @@ def zero_pad(number: Column, width: int) -> Column:
     return F.right(F.concat(F.lit("0" * width), number.cast("string")), F.lit(width))
 
 
+def zero_pad_least(number: Column, width: int) -> Column:
+    """Left-pad with zeros to at least ``width`` digits; longer numbers stay whole, so different ones stay different."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def day_number(ts: Column) -> Column:
     """The date as the number yyyymmdd; arithmetic is cheaper here than formatting text."""
     return (F.year(ts) * 10000 + F.month(ts) * 100 + F.day(ts)).cast("long")

@@ -380,7 +380,7 @@ class Lake:
         heads = self.freight_shipments.select(
             k.alias("freight_bill_id"), "shipment_id",
             F.concat(F.lit("BOL"), S.day_number(_c("created_at")).cast("string"), F.lit("-"),
-                     S.zero_pad((k + 1) % 1000000, 6)).alias("bol_number"),
+                     S.zero_pad_least(k + 1, 6)).alias("bol_number"),
             (S.bucket(k, 43, 3) < 8).alias("hazmat"), "created_at")
         return heads.join(totals, "freight_bill_id")
 
@@ -489,7 +489,7 @@ class Lake:
                  .when(roll < 90, "IT Support Technician").otherwise("Administrative Assistant"))
         leave = F.date_add("hire_date", (s * 11 % 450 + 120).cast("int"))
         return base.withColumn("hire_date", hire).select(
-            s.alias("employee_id"), F.concat(F.lit("EMP-"), S.zero_pad(s, 5)).alias("employee_number"),
+            s.alias("employee_id"), F.concat(F.lit("EMP-"), S.zero_pad_least(s, 5)).alias("employee_number"),
             _c("s_name").alias("full_name"),
             F.concat(F.lower(F.replace("s_name", F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
             facility.alias("facility_id"),
@@ -508,7 +508,7 @@ class Lake:
                    .otherwise("Class-G"))
         return self.employees.filter("is_driver").select(
             "employee_id", licence.alias("license_class"),
-            F.concat(F.lit("DL"), S.zero_pad(e * 7919 % 100000000, 8)).alias("license_number"),
+            F.concat(F.lit("DL"), S.zero_pad_least(e * 7919, 8)).alias("license_number"),
             F.date_add(F.lit(X.AS_OF), (e * 19 % 1400 + 200).cast("int")).alias("license_expiry"),
             "facility_id", "facility_type")
 
@@ -640,7 +640,7 @@ class Lake:
             "invoice_id", "account_id", "inv_year", "inv_month", "country_code",
             F.date_add(month, 4).alias("invoice_date"), F.date_add(month, 34).alias("due_date"),
             F.concat(F.lit("INV-"), _c("inv_year").cast("string"), F.lit("-"),
-                     S.zero_pad(_c("invoice_id") % 1000000, 6)).alias("invoice_number"),
+                     S.zero_pad_least(_c("invoice_id"), 6)).alias("invoice_number"),
             F.when(us, "USD").otherwise("CAD").alias("currency"),
             F.when(us, F.lit("1.000000")).otherwise(F.lit(X.CAD_TO_USD)).cast("decimal(10,6)").alias("rate_to_usd"))
 
@@ -670,7 +670,7 @@ class Lake:
             i.alias("payment_id"), "invoice_id",
             F.date_add("invoice_date", (i * 3 % 31 + 15).cast("int")).alias("payment_date"),
             _c("total_amount").alias("amount_paid"), "currency", "rate_to_usd", method.alias("payment_method"),
-            F.concat(F.lit("REF"), S.zero_pad(i * 7919 % 10000000000, 10)).alias("payment_reference"))
+            F.concat(F.lit("REF"), S.zero_pad_least(i * 7919, 10)).alias("payment_reference"))
 
     @cached_property
     def invoices(self) -> DataFrame:

@@ -7,22 +7,21 @@ bounded by elapsed time, not by the number of events.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from haulmark.operators.ordered import lag_within, running_sum_within
 from haulmark.plans import fixed as X
-from haulmark.session import new_path
-from haulmark.streaming.source import event_stream, run_to_end
+from haulmark.session import new_path, ship_package
+from haulmark.sources.writes import stage
+from haulmark.streaming.source import batches_before, event_stream, run_to_end
 
 _c = F.col
 NEVER = -(2**62)
 RUNS_PER_GROUP = 4096
+_MARKED = "alert string, second long, fired boolean"
 
 
 def answered(second: np.ndarray, last: int, delay: int) -> list[int]:
@@ -40,60 +39,64 @@ def severe_seconds(events: DataFrame, severity: int) -> DataFrame:
         _c("event_type").alias("alert"), F.unix_timestamp(_c("ts").cast("timestamp")).alias("second"))
 
 
-def batch_alerts(events: DataFrame, severity: int = X.ALERT_SEVERITY,
-                 delay: int = X.ALERT_DELAY_SECONDS) -> DataFrame:
-    """Batch form. A silence of ``delay`` always re-arms the alert, so it cuts a key into separate runs.
-
-    Runs are independent of each other; ``RUNS_PER_GROUP`` neighbouring runs share a call into Python.
-    """
-    seconds = severe_seconds(events, severity).distinct()
+def _runs(seconds: DataFrame, delay: int) -> DataFrame:
+    """Distinct seconds with the number of their run: a silence of ``delay`` re-arms the alert and starts a new one."""
     gaps = lag_within(seconds, ["alert"], "second", "second", "before")
     starts = gaps.withColumn("starts", F.when(_c("second") - _c("before") < delay, 0).otherwise(1).cast("long"))
-    runs = running_sum_within(starts.drop("before"), ["alert"], "second", "starts", "run").drop("starts")
+    return running_sum_within(starts.drop("before"), ["alert"], "second", "starts", "run").drop("starts")
+
+
+def _marked(runs: DataFrame, delay: int) -> DataFrame:
+    """Every second of the runs and whether it is answered.
 
+    Runs are independent of each other; ``RUNS_PER_GROUP`` neighbouring runs share a call into Python.
+    """
     def respond(pdf: pd.DataFrame) -> pd.DataFrame:
-        fired = answered(np.sort(pdf["second"].to_numpy()), NEVER, delay)
-        return pd.DataFrame({"alert": pdf["alert"].iloc[0], "second": fired})
+        seconds = np.sort(pdf["second"].to_numpy())
+        return pd.DataFrame({"alert": pdf["alert"].iloc[0], "second": seconds,
+                             "fired": np.isin(seconds, answered(seconds, NEVER, delay))})
 
+    ship_package(runs.sparkSession)
     packed = runs.withColumn("pack", F.expr(f"run div {RUNS_PER_GROUP}"))
-    return as_report(packed.groupBy("alert", "pack").applyInPandas(respond, "alert string, second long"))
+    return packed.groupBy("alert", "pack").applyInPandas(respond, _MARKED)
+
+
+def batch_alerts(events: DataFrame, severity: int = X.ALERT_SEVERITY,
+                 delay: int = X.ALERT_DELAY_SECONDS) -> DataFrame:
+    """Batch form."""
+    seconds = severe_seconds(events, severity).distinct()
+    return as_report(_marked(_runs(seconds, delay), delay).filter("fired"))
 
 
 def as_report(fired: DataFrame) -> DataFrame:
     return fired.select("alert", F.timestamp_seconds("second").cast("timestamp_ntz").alias("fired_at"))
 
 
-def stream_alerts(spark: SparkSession, pattern: str, files_per_batch: int = 64,
-                  severity: int = X.ALERT_SEVERITY, delay: int = X.ALERT_DELAY_SECONDS) -> DataFrame:
-    """Streaming form: the state of a key is the second of its last response.
+def stream_alerts(spark: SparkSession, pattern: str, files_per_batch: int = 64, severity: int = X.ALERT_SEVERITY,
+                  delay: int = X.ALERT_DELAY_SECONDS, folder: str | None = None) -> DataFrame:
+    """Streaming form, the same as the batch form whatever order files come in; no event is too late.
+
+    What is kept is a log of severe seconds with the mark whether they are answered. A micro-batch brings new seconds,
+    finds the runs that hold one of them, also where it joins two runs, and writes the marks of these runs anew into
+    its own folder; the newest batch of a second counts. An alert storm is reduced to distinct seconds on all tasks
+    first, so the log follows the clock, not the number of events.
 
-    State is dropped once the watermark is past that second plus the delay, when it can no longer silence
-    anything. Events more than an hour behind the watermark are dropped by the engine.
+    ``folder`` holds log and progress; a later call with the same folder adds the files that are new.
     """
-    def respond(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else NEVER
-        seconds = np.unique(np.concatenate([np.unique(f["second"].to_numpy()) for f in frames]))
-        fired = answered(seconds, last, delay)
-        if fired:
-            last = fired[-1]
-            state.update((last,))
-        until = (last + delay) * 1000
-        if until > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(until)
-        yield pd.DataFrame({"alert": key[0], "second": fired})
-
-    events = (event_stream(spark, pattern, files_per_batch)
-              .withColumn("event_time", _c("ts").cast("timestamp")).withWatermark("event_time", "1 hour"))
-    # Severe events are reduced to distinct seconds on (alert, second), so an alert storm is spread over all
-    # tasks and only its seconds reach the one task that follows the alert's chain.
-    severe = events.filter(_c("k") % 26 >= severity).select(
-        _c("event_type").alias("alert"), F.unix_timestamp("event_time").alias("second"), "event_time"
-    ).dropDuplicatesWithinWatermark(["alert", "second"])
-    fired = severe.groupBy("alert").applyInPandasWithState(
-        respond, "alert string, second long", "last long", "append", GroupStateTimeout.EventTimeTimeout)
-    target = new_path(spark, "alerts")
-    run_to_end(fired.writeStream.format("parquet").option("path", target).outputMode("append"), spark, "alerts")
-    return as_report(spark.read.schema("alert string, second long").parquet(target))
+    folder = folder or new_path(spark, "alerts")
+    log = f"{folder}/marks"
+
+    def respond(rows: DataFrame, batch_id: int) -> None:
+        known = batches_before(spark, log, _MARKED, batch_id).select("alert", "second", F.lit(False).alias("fresh"))
+        arrived = severe_seconds(rows, severity).distinct().withColumn("fresh", F.lit(True))
+        # A second that was there before changes nothing.
+        seconds = stage(known.unionByName(arrived).groupBy("alert", "second").agg(F.min("fresh").alias("fresh")), "alert-seconds")
+        runs = stage(_runs(seconds, delay), "alert-runs")
+        touched = runs.filter("fresh").select("alert", "run").distinct()
+        again = _marked(runs.join(touched, ["alert", "run"], "left_semi"), delay)
+        again.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+
+    run_to_end(event_stream(spark, pattern, files_per_batch).writeStream.foreachBatch(respond), f"{folder}/progress")
+    marks = spark.read.schema(f"{_MARKED}, batch long").parquet(log)
+    newest = marks.groupBy("alert", "second").agg(F.max_by("fired", "batch").alias("fired"))
+    return as_report(newest.filter("fired"))

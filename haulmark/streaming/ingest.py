@@ -29,15 +29,17 @@ def verdict() -> Column:
             .when(~S.exactly_one(_c("package_id"), _c("pallet_id")), "bad_entity").otherwise("accepted"))
 
 
-def ingest(spark: SparkSession, pattern: str, files_per_batch: int = 64) -> DataFrame:
+def ingest(spark: SparkSession, pattern: str, files_per_batch: int = 64, folder: str | None = None) -> DataFrame:
     """Run the stream to its end and return all events with their verdict.
 
     The file sink commits each micro-batch once; the verdict is a partition column, so accepted rows and
-    dead letters are separate folders of one write.
+    dead letters are separate folders of one write. ``folder`` holds the rows and the progress; a later call with the
+    same folder adds the files that are new.
     """
-    target = new_path(spark, "ingested")
+    folder = folder or new_path(spark, "ingested")
+    target = f"{folder}/rows"
     checked = with_entities(event_stream(spark, pattern, files_per_batch)).withColumn("verdict", verdict())
     writer = (checked.select("event_id", "ts", "event_type", "package_id", "pallet_id", "verdict")
               .writeStream.format("parquet").option("path", target).partitionBy("verdict"))
-    run_to_end(writer, spark, "ingest")
+    run_to_end(writer, f"{folder}/progress")
     return spark.read.parquet(target)

@@ -6,45 +6,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.operators.joins import found_in
-from haulmark.operators.ordered import lag_within, latest_by
+from haulmark.operators.ordered import lag_within
 from haulmark.session import new_path
-from haulmark.streaming.source import event_stream, run_to_end
+from haulmark.sources.writes import stage
+from haulmark.streaming.source import batches_before, event_stream, run_to_end
 
 _c = F.col
-IDLE_DAYS = 365
+_SEEN = "user_id long, event_id long, late_ts timestamp_ntz"
 
 
-def late_events(spark: SparkSession, pattern: str, files_per_batch: int = 64,
-                idle_days: int = IDLE_DAYS) -> DataFrame:
-    """Events whose time lies before that of the entity's previous event in id order.
+def late_events(spark: SparkSession, pattern: str, files_per_batch: int = 64, folder: str | None = None) -> DataFrame:
+    """Events whose time lies before that of the entity's previous event in id order, whatever order files come in.
 
-    Each micro-batch is an ordinary plan, so a hot entity is cut into blocks as in the batch form. The last
-    event per entity is a versioned table in the shared folder: batch n reads version n-1 and overwrites
-    version n, so a repeated batch gives the same result. Entities silent for ``idle_days`` before the newest
-    event leave the table; late events are kept and reported, never dropped.
-    """
-    target, memory = new_path(spark, "late"), new_path(spark, "last-seen")
-    last_schema = "user_id long, event_id long, late_ts timestamp_ntz"
+    A micro-batch adds its events to the stored history and looks again at the entities it touches, with all their
+    events: an event with a low id that comes late can make its successor late, or right again. The newest batch that
+    touched an entity holds its result. Each batch is an ordinary plan, so a hot entity is cut into blocks, and it
+    overwrites its own folder, so a repeated batch gives the same result. Nothing is evicted. The history is three
+    columns; per batch it is read once.
 
-    def previous(batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return spark.createDataFrame([], last_schema)
-        return spark.read.schema(last_schema).parquet(f"{memory}/{batch_id - 1}")
+    ``folder`` holds history, results and progress; a later call with the same folder adds the files that are new.
+    """
+    folder = folder or new_path(spark, "late")
+    seen, late = f"{folder}/seen", f"{folder}/late"
 
     def check(rows: DataFrame, batch_id: int) -> None:
-        known = previous(batch_id)
-        merged = known.unionByName(rows.select("user_id", "event_id", "late_ts"))
-        last = latest_by(merged, ["user_id"], ["event_id"], ["event_id", "late_ts"])
-        newest = merged.agg(F.max("late_ts")).scalar()
-        (last.filter(_c("late_ts") >= newest - F.expr(f"INTERVAL {idle_days} DAY"))
-             .write.mode("overwrite").parquet(f"{memory}/{batch_id}"))
-        # Only entities of this batch need their last event again.
-        here = found_in(known, rows, "user_id").unionByName(rows.select("user_id", "event_id", "late_ts"))
-        seen = lag_within(here, ["user_id"], "event_id", "late_ts", "previous_ts")
-        found = (seen.filter(_c("late_ts") < _c("previous_ts"))
-                 .join(known.select("user_id", "event_id"), ["user_id", "event_id"], "left_anti"))
-        found.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        fresh = f"{seen}/batch={batch_id}"
+        rows.select("user_id", "event_id", "late_ts").write.mode("overwrite").parquet(fresh)
+        fresh = spark.read.schema(_SEEN).parquet(fresh)
+        known = batches_before(spark, seen, _SEEN, batch_id)
+        here = stage(found_in(known, fresh, "user_id").unionByName(fresh), "late-touched")
+        found = lag_within(here, ["user_id"], "event_id", "late_ts", "previous_ts")
+        found.filter(_c("late_ts") < _c("previous_ts")).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
 
     stream = event_stream(spark, pattern, files_per_batch).select("user_id", "event_id", "late_ts")
-    run_to_end(stream.writeStream.foreachBatch(check), spark, "late")
-    return spark.read.parquet(target).drop("batch")
+    run_to_end(stream.writeStream.foreachBatch(check), f"{folder}/progress")
+    newest = (spark.read.schema(f"{_SEEN}, batch long").parquet(seen)
+              .groupBy("user_id").agg(F.max("batch").alias("batch")))
+    found = spark.read.schema(f"{_SEEN}, previous_ts timestamp_ntz, batch long").parquet(late)
+    return found.join(newest, ["user_id", "batch"]).drop("batch")

@@ -62,6 +62,47 @@ def test_late_events_across_micro_batches(spark, lake, split_events):
     assert rows(got.select("event_id", "previous_ts")) == rows(want.select("event_id", "previous_ts"))
 
 
+@pytest.fixture(scope="module")
+def shuffled_events(split_events, tmp_path_factory):
+    """The same files, arriving out of time order."""
+    import os
+    from pathlib import Path
+    root = tmp_path_factory.mktemp("shuffled")
+    for place, i in enumerate([3, 0, 5, 1, 4, 2]):
+        target = root / f"events-{place}.parquet"
+        target.write_bytes(Path(split_events.replace("*", str(i))).read_bytes())
+        os.utime(target, (1_700_000_000 + place, 1_700_000_000 + place))
+    return root
+
+
+@pytest.mark.parametrize("files", [1, 3, 64])
+def test_streams_do_not_depend_on_the_order_of_files(spark, lake, shuffled_events, files):
+    scans = telemetry.scans(lake)
+    pattern = f"{shuffled_events}/events-*.parquet"
+    assert rows(alerts.stream_alerts(spark, pattern, files)) == rows(alerts.batch_alerts(scans))
+    want = out_of_order(scans.select("user_id", "event_id", "late_ts"), ["user_id"], "event_id", "late_ts")
+    columns = ["user_id", "event_id", "late_ts", "previous_ts"]
+    assert rows(order.late_events(spark, pattern, files).select(columns)) == rows(want.select(columns))
+
+
+def test_streams_go_on_where_they_stopped(spark, lake, shuffled_events, tmp_path):
+    events = tmp_path / "arriving"
+    events.mkdir()
+    pattern, scans = f"{events}/events-*.parquet", telemetry.scans(lake)
+    for part in ([0, 1, 2], [3, 4, 5]):
+        for i in part:
+            (events / f"events-{i}.parquet").write_bytes((shuffled_events / f"events-{i}.parquet").read_bytes())
+        fired = alerts.stream_alerts(spark, pattern, 2, folder=f"{tmp_path}/alerts")
+        late = order.late_events(spark, pattern, 2, folder=f"{tmp_path}/late")
+        seen = ingest.ingest(spark, pattern, 2, folder=f"{tmp_path}/ingested")
+        now = status.current_status(spark, pattern, 2, folder=f"{tmp_path}/status")
+    assert rows(fired) == rows(alerts.batch_alerts(scans))
+    want = out_of_order(scans.select("user_id", "event_id", "late_ts"), ["user_id"], "event_id", "late_ts")
+    assert rows(late.select("event_id", "previous_ts")) == rows(want.select("event_id", "previous_ts"))
+    assert seen.count() == lake.table("events").count()
+    assert now.count() == lake.table("events").select("user_id").distinct().count()
+
+
 def test_stream_reads_every_event_once(spark, lake, split_events):
     assert source.event_stream(spark, split_events).isStreaming
     got = ingest.ingest(spark, split_events, files_per_batch=1)
