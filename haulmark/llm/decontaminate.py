@@ -113,7 +113,7 @@ class Index:
         rank = np.where(split, np.cumsum(split) - 1, sequence.astype(np.int64) + count)
         width = 1
         while True:
-            key = rank * (count + n + 2)
+            key = rank * (count + max(n, top) + 2)  # the first ranks are symbols, of which there can be more than places
             key[:n - width] += rank[width:] + 1
             order = np.argsort(key, kind="stable")
             same = key[order][1:] == key[order][:-1]

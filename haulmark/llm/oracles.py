@@ -18,4 +18,44 @@ SELECT conv_id, CAST(n_turns AS INTEGER) AS n_turns, n_copies, rendered FROM onc
 WHERE NOT EXISTS (SELECT 1 FROM once b WHERE b.n_turns > a.n_turns AND b.said[1] = a.said[1] AND b.said[1:a.n_turns] = a.said)
 """
 
-ORACLES = {"op10_chat_format": _OP10}
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP3 = rf"""
+WITH RECURSIVE docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT rid, array_to_string(w[i:i + 2], ' ') AS shingle
+    FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM docs WHERE len(w) > 0) x),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+sized AS (SELECT rid, n, shingle FROM shingles JOIN sizes USING (rid)),
+pairs AS (
+    SELECT a.rid AS u, b.rid AS v FROM sized a JOIN sized b
+      ON a.shingle = b.shingle AND a.rid < b.rid AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+    GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+links AS (SELECT u, v FROM pairs UNION ALL SELECT v, u FROM pairs),
+reach AS (SELECT rid AS a, rid AS b FROM docs UNION SELECT r.a, l.v FROM reach r JOIN links l ON r.b = l.u)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+FROM docs d LEFT JOIN sizes s USING (rid)
+JOIN (SELECT r.a AS rid, min(o.doc_id) AS component_id FROM reach r JOIN docs o ON o.rid = r.b GROUP BY r.a) c USING (rid)
+"""
+
+_OP7 = rf"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT item_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM items WHERE len(w) > 0) x),
+places AS (
+    SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+    FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) lengths) x),
+found AS (SELECT rid, item_id, n, i FROM places JOIN windows USING (n, win)),
+hits AS (SELECT rid, count(DISTINCT word) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS word FROM found) x GROUP BY rid),
+held AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+         FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM found) x GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (rid) LEFT JOIN held USING (rid)
+"""
+
+ORACLES = {"op3_ngram_join": _OP3, "op7_decontaminate": _OP7, "op10_chat_format": _OP10}

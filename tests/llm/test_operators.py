@@ -210,6 +210,24 @@ def test_decontaminate(spark):
     assert again == out
 
 
+@pytest.mark.parametrize("top", [3, 50, 5000])
+def test_index_finds_every_place(top):
+    """Also where the benchmark has more words than the shard has places."""
+    for seed in range(40):
+        rng = np.random.default_rng(seed)
+        sequence = rng.integers(1, top + 1, int(rng.integers(3, 120)))
+        sequence[rng.random(len(sequence)) < 0.15] = 0
+        sequence = np.concatenate([[0], sequence, [0]])
+        index = decontaminate.Index(sequence, top)
+        for length in (1, 2, 3, 4):
+            for at in range(len(sequence) - length):
+                pattern = sequence[at:at + length]
+                if (pattern > 0).all():
+                    low, high = index.search(pattern[None].astype(np.int32), np.array([length]))
+                    want = [k for k in range(len(sequence) - length + 1) if np.array_equal(sequence[k:k + length], pattern)]
+                    assert sorted(index.locate(np.arange(low[0], high[0])).tolist()) == want
+
+
 def test_licenses(spark):
     rows = [(1, "Released under CC-BY cc by; All rights  reserved"), (2, "general public licenses"),
             (3, "SPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0) AND Apache-2.0\nnext")]
