@@ -170,6 +170,38 @@ def test_passages_behind_a_common_line(spark):
     assert {(r["doc_id"], r["first_word"]) for r in out if r["end_word"] >= 115} >= {(doc_id, 60) for doc_id, _ in rows}
 
 
+def near_pair(seed, n, change):
+    """Two texts that share n random words, one of which is changed, in random surroundings."""
+    rng = random.Random(seed)
+    fresh = iter(rng.sample(range(10**6), n + 201)).__next__
+    shared = [f"w{fresh()}" for _ in range(n)]
+    at = rng.randrange(n // 2 - 3, n // 2 + 3)
+    other = shared[:at] + ([] if change == "delete" else [f"w{fresh()}"]) + shared[at + (change != "insert"):]
+    around = [[f"w{fresh()}" for _ in range(50)] for _ in range(4)]
+    return shared, other, [" ".join(around[k] + words + around[2 + k]) for k, words in enumerate((shared, other))]
+
+
+@pytest.mark.parametrize("change", ["replace", "insert", "delete"])
+@pytest.mark.parametrize("n", [51, 60, 80, 100])
+def test_recall_of_near_passages(change, n):
+    """Windows with one signature and their alignment, against the similarity of the planted passages."""
+    found = similar = 0
+    for seed in range(150):
+        shared, other, texts = near_pair(seed, n, change)
+        x, y = ({tuple(words[k:k + 5]) for k in range(len(words) - 4)} for words in (shared, other))
+        if len(x & y) < 0.8 * len(x | y) or min(len(shared), len(other)) < passages.MIN_WORDS:
+            continue
+        similar += 1
+        batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(texts)], names=["node", "text"])
+        windows = next(passages._windows(batch)).to_pylist()
+        tokens = dict(passages._tokens(batch.column(1)))
+        anchors = [(a["c"], a["l"], a["r"], b["c"], b["l"], b["r"]) for a in windows if a["node"] == 0
+                   for b in windows if b["node"] == 1 and a["sig"] == b["sig"]]
+        spans = passages._passages(tokens[0], tokens[1], anchors)
+        found += any((s, e + 4, t, u + 4) == (50, 50 + len(shared), 50, 50 + len(other)) for s, e, t, u in spans)
+    assert similar >= 100 and found >= 0.95 * similar, (found, similar)
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     rows = []
