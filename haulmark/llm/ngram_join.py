@@ -10,8 +10,9 @@ and k = 1 + n // 50, the smaller of both nodes'. Lists hold prefixes only, and l
    node and turn.
 2. The exact search covers what is left: only lists that still hold nodes of different components, and only pairs of
    different components. Short lists, and all lists of a node whose prefix has so many long ones that k could be
-   reached by these alone, come to the querying node and are heap-merged; the other long lists are probed by binary
-   search in the candidate's own list numbers. Candidates that reach k are compared.
+   reached by these alone (a heavy node), come to the querying node and are heap-merged; the long lists of a pair that
+   is not of two heavy nodes are probed by binary search in the candidate's own list numbers. A light node has fewer
+   long lists than k, so such a pair meets in a short one. Candidates that reach k are compared.
 
 Every comparison is exact, on the whole sets. Lists and members are joined in chunks of bounded size.
 
@@ -183,27 +184,36 @@ def _rest(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     heavy = (rows.filter("long").groupBy("node").agg(F.max(least_k).alias("least"), F.array_sort(F.collect_set("list")).alias("longs"))
              .withColumn("heavy", F.size("longs") >= F.col("least")))
     heavy = stage(heavy.select("node", "longs", "heavy"), "jaccard-long")
-    merged = rows.join(heavy.filter("heavy").select("node", "heavy"), "node", "left").filter("NOT long OR heavy")
-    merged = stage(merged.select("list", "node", "n", "component", "size"), "jaccard-merged")
-    light = heavy.filter("NOT heavy").select("node", "longs")
+    merged = (rows.join(heavy.select("node", "heavy", F.size("longs").alias("n_longs")), "node", "left")
+              .withColumn("heavy", F.coalesce("heavy", F.lit(False))).filter("NOT long OR heavy"))
+    # ``unseen``: how many lists of the node are not merged.
+    unseen = F.when(F.col("heavy"), 0).otherwise(F.coalesce("n_longs", F.lit(0))).alias("unseen")
+    merged = stage(merged.select("list", "node", "n", "component", "size", "heavy", unseen), "jaccard-merged")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("size") / LONG_LIST))
     members = (merged.groupBy("list", F.pmod(F.xxhash64("node"), chunks).alias("chunk"))
-               .agg(F.array_sort(F.collect_list(F.struct("node", "n", "component"))).alias("members")))
+               .agg(F.array_sort(F.collect_list(F.struct("node", "n", "component", "unseen"))).alias("members")))
     members = stage(members.select("list", "members"), "jaccard-chunks")
     asked = merged.join(members, "list").withColumn("members", F.filter("members", lambda m: (
         (m["node"] < F.col("node")) & (m["component"] != F.col("component")) & _compatible(m["n"], F.col("n"), percent))))
-    lists_of = (asked.filter(F.size("members") > 0).select("node", "n", F.col("members.node").alias("others"))
-                .groupBy("node").agg(F.collect_list("others").alias("lists"), F.max(least_k).alias("least")))
-    # Who is in too few merged lists cannot reach the number needed, even with all of the node's long lists.
-    lists_of = (lists_of.join(light, "node", "left").select(
-        "node", "lists", (F.col("least") - F.coalesce(F.size("longs"), F.lit(0))).alias("least")))
+    # Lists that a pair shares and that are not merged are at most those of the light node; partners with such lists are
+    # merged apart, so that a heavy node asks for fewer merged lists of these only. One is needed of every pair.
+    apart = F.explode(F.array(F.struct(F.lit(False).alias("some"), F.filter("members", lambda m: m["unseen"] == 0).alias("members")),
+                              F.struct(F.lit(True).alias("some"), F.filter("members", lambda m: m["unseen"] > 0).alias("members")))).alias("part")
+    lists_of = (asked.select("node", "n", "heavy", "unseen", apart).filter(F.size("part.members") > 0)
+                .select("node", "part.some", F.col("part.members.node").alias("others"), least_k.alias("least"),
+                        F.when(F.col("heavy"), F.array_max("part.members.unseen")).otherwise(F.col("unseen")).alias("unseen"))
+                .groupBy("node", "some").agg(F.collect_list("others").alias("lists"), F.max("least").alias("least"), F.max("unseen").alias("unseen"))
+                .select("node", "lists", F.greatest(F.col("least") - F.col("unseen"), F.lit(1)).alias("least")))
     found = map_batches(lists_of, "a long, b long, times long", _merge)
     sizes = merged.select("node", "n").distinct()
     for side in ("a", "b"):
         found = (found.join(sizes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)
-                 .join(light.select(F.col("node").alias(side), F.col("longs").alias(f"longs_{side}")), side, "left"))
+                 .join(heavy.select(F.col("node").alias(side), F.col("longs").alias(f"longs_{side}"), F.col("heavy").alias(f"heavy_{side}")),
+                       side, "left"))
     least = F.floor(F.least("n_a", "n_b") / 50) + 1
-    return map_batches(found.select("a", "b", "times", least.alias("least"), "longs_a", "longs_b"), "a long, b long", _probe)
+    # The merge has counted the long lists of two heavy nodes, and of no other pair.
+    probed = F.when(F.coalesce(F.col("heavy_a") & F.col("heavy_b"), F.lit(False)), None).otherwise(F.col("longs_a")).alias("longs_a")
+    return map_batches(found.select("a", "b", "times", least.alias("least"), probed, "longs_b"), "a long, b long", _probe)
 
 
 def join(documents: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:

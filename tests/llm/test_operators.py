@@ -137,6 +137,23 @@ def test_pieces(spark):
     assert out[900]["n_tokens"] == 0 and out[903]["exact"] and not out[1]["exact"]
 
 
+def test_long_lists_between_light_and_heavy_nodes(spark, monkeypatch):
+    """Candidates are the pairs of nodes of compatible sizes that share enough lists, however long these are."""
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 2)
+    rng = random.Random(5)
+    held = {node: (rng.randint(50, 210), set(rng.sample(range(8), rng.randint(0, 5))) | set(rng.sample(range(100, 140), rng.randint(1, 6))))
+            for node in range(60)}
+    held |= {60: (60, {200, 1}), 61: (66, {200, 1, 2, 3, 4}), 62: (66, {201, 1, 2, 3, 4}), 63: (60, {201, 1})}
+    lists = [(name, node, n) for node, (n, names) in held.items() for name in names]
+    size = {name: sum(row[0] == name for row in lists) for name, _, _ in lists}
+    shared = spark.createDataFrame([row for row in lists if size[row[0]] > 1], "list long, node long, n long")
+    repeated = spark.createDataFrame([row for row in size.items() if row[1] > 1], "list long, size long")
+    want = {(a, b) for a, (n, x) in held.items() for b, (m, y) in held.items()
+            if b < a and min(n, m) * 100 >= max(n, m) * 90 and len(x & y) >= 1 + min(n, m) // 50}
+    out = [(r["a"], r["b"]) for r in ngram_join._rest(ngram_join._mixed(shared, None), repeated, 90).collect()]
+    assert {(61, 60), (63, 62)} <= want == set(out) and len(out) == len(want)
+
+
 @pytest.mark.parametrize("values", [np.random.default_rng(k).integers(0, 30 if k % 2 else 1 << 40, 150).astype(np.uint64) for k in range(6)])
 def test_compact_windows(values):
     want = set()
