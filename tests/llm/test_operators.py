@@ -187,6 +187,18 @@ def test_passages_behind_a_common_line(spark):
     assert {(r["doc_id"], r["first_word"]) for r in out if r["end_word"] >= 115} >= {(doc_id, 60) for doc_id, _ in rows}
 
 
+def test_passages_of_texts_that_a_leader_covers(spark):
+    """L, X and Y share a line; X shares words before it with L, and words behind it with Y, which has nothing else of L."""
+    rows = []
+    for k in range(12):
+        line, before, behind = prose(1000 + k, 45), prose(1100 + k, 20), prose(1200 + k, 20)
+        own = [prose(1300 + 10 * k + j, 60) for j in range(6)]
+        rows += [(3 * k, f"{before} {line} {own[0]}"), (3 * k + 1, f"{own[1]} {before} {line} {behind} {own[2]}"),
+                 (3 * k + 2, f"{own[3]} {line} {behind} {own[4]} {own[5]}")]
+    out = {(r["doc_id"], r["first_word"], r["end_word"]) for r in passages.report(docs(spark, rows)).collect()}
+    assert out >= {(3 * k + 2, 60, 125) for k in range(12)}, sorted(out)
+
+
 def near_pair(seed, n, change):
     """Two texts that share n random words, one of which is changed, in random surroundings."""
     rng = random.Random(seed)
