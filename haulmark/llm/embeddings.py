@@ -3,7 +3,8 @@
 Equal vectors of a label are one node. In each pass the nodes are ordered by label and then lexicographically by a row
 of random hashes (random projections cut into steps), ended by a plain projection, and every vector is compared with
 the ``WINDOW`` before it. Ranges of the order meet at their ends: each range hands its first and last vectors to a
-second, small comparison. Pairs that pass are united over all passes.
+second, small comparison. Pairs that pass are united over all passes. The number of passes grows with the logarithm of
+the largest label, since a pass parts more pairs the closer the vectors of a label lie.
 
 Links within a component are then counted exactly, in blocks of about ``BLOCK`` vectors against blocks, so that a
 group larger than the windows has all its links counted, without a pair being written.
@@ -15,6 +16,8 @@ further vectors of their node. A component's id is its smallest vec_id that is n
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +34,11 @@ BLOCK = 512
 SEED = 20240917
 
 
+def passes_for(largest: int) -> int:
+    """Passes for a label of so many distinct vectors: PASSES up to about 8,000, 16 at 20,000, and 20 more per power of ten."""
+    return max(PASSES, math.ceil(16 + 20 * math.log10(max(largest, 1) / 20_000)))
+
+
 def _matrix(vectors: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1)
 
@@ -191,7 +199,8 @@ def near_duplicates(embeddings: DataFrame, least: float = THRESHOLD) -> DataFram
     nodes = stage(vectors.filter("node IS NOT NULL").groupBy("node")
                   .agg(F.any_value(F.struct("label", "unit")).alias("held"), F.count(F.lit(1)).alias("weight"))
                   .select("node", "held.label", "held.unit", "weight"), "vector-nodes")
-    labels = components(links_found(nodes, least=least), "a", "b")
+    largest = nodes.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    labels = components(links_found(nodes, passes_for(largest), least), "a", "b")
     members = stage(nodes.join(labels, "node"), "vector-members")
     sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     blocked = (members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))

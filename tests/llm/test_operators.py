@@ -252,6 +252,20 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_recall_in_a_large_spread_out_label(spark):
+    """Each of 400 vectors has one partner at 0.981 among 20,000 random vectors of one label."""
+    rng = np.random.default_rng(17)
+    x = rng.standard_normal((20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    aside = rng.standard_normal((400, 64))
+    aside -= (aside * x[:400]).sum(1)[:, None] * x[:400]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    x = np.concatenate([x, 0.981 * x[:400] + np.sqrt(1 - 0.981 ** 2) * aside])
+    rows = spark.createDataFrame([(k, row, 1) for k, row in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    out = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(rows).collect()}
+    assert sum(out[k] for k in range(400)) >= 0.95 * 400, sum(out[k] for k in range(400))
+
+
 def test_decontaminate(spark):
     item = prose(77, 25)
     rows = [(1, f"start {item.upper().replace('É', 'é')} end"), (2, " ".join(item.split()[3:14])), (3, prose(5, 50)), (4, "a short one!"), (5, " ".join(item.split()[:9]))]
