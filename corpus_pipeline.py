@@ -19,11 +19,17 @@ def drop_toxic(spark, docs, sf_dir):
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """Of documents linked by five-word shingles with a similarity of 0.8 or more, the one with the smallest id stays.
-    Documents without words or id stay."""
-    found = ngram_join.report(docs, width=5, percent=80)
-    kept = found.filter("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_anti").select(*docs.columns)
+    """Of rows linked by five-word shingles with a similarity of 0.8 or more, the first by doc_id stays, rows without id
+    last; of rows with one id, one. Rows without words stay."""
+    numbered = stage(docs.withColumn("corpus_row", F.monotonically_increasing_id()), "corpus-rows")
+    rows, labels = ngram_join.join(numbered.select(F.col("corpus_row").alias("doc_id"), "text"), width=5, percent=80)
+    placed = stage(rows.filter("n > 0").join(labels, "node", "left")
+                   .select(F.col("doc_id").alias("corpus_row"), F.coalesce("component", "node").alias("component"))
+                   .join(numbered.select("corpus_row", "doc_id"), "corpus_row"), "corpus-components")
+    first = (placed.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "corpus_row")).alias("first"))
+             .select("first.corpus_row"))
+    copies = placed.join(first, "corpus_row", "left_anti").select("corpus_row")
+    return numbered.join(copies, "corpus_row", "left_anti").select(*docs.columns)
 
 
 def cut_benchmark(spark, docs, sf_dir):

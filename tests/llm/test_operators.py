@@ -106,6 +106,17 @@ def test_ngram_join(spark):
     assert ngram_join.report(docs(spark, [])).count() == 0
 
 
+def test_near_copies_are_rows(spark):
+    """Repeated rows of one id, copies without id, and a clean row that has the id of a copy."""
+    from corpus_pipeline import drop_near_copies
+    a, b, c, d = (prose(400 + k, 60) for k in range(4))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, d), (None, d), (4, ""), (4, ""), (None, a)]
+    kept = drop_near_copies(spark, docs(spark, rows), None)
+    want = [(1, a), (2, b), (3, c), (None, d), (4, ""), (4, "")]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    assert kept.columns == ["doc_id", "text", "score"]
+
+
 def test_merge_and_probe():
     batch = pa.RecordBatch.from_arrays([pa.array([9]), pa.array([[[1, 2], [2, 3], [2]]]), pa.array([2])], names=["a", "lists", "least"])
     merged, = ngram_join._merge(batch)
