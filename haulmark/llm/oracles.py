@@ -58,4 +58,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN hits USING (rid) LEFT JOIN held USING (rid)
 """
 
-ORACLES = {"op3_ngram_join": _OP3, "op7_decontaminate": _OP7, "op10_chat_format": _OP10}
+_OP13 = r"""
+WITH parts AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages),
+sited AS (
+    SELECT *, CASE
+        WHEN '.' || host LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+        WHEN '.' || host LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+        WHEN '.' || host LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+        WHEN '.' || host LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+        WHEN '.' || host LIKE '%.org' AND path LIKE '/%' THEN 'org/' END AS rule
+    FROM parts)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(host || path, '^spam[^/]*/about\.html$') THEN 'allow'
+    WHEN regexp_matches(path, '\.(pdf|zip|exe|jpg|png)$') OR (path = '' AND regexp_matches(host, '\.(pdf|zip|exe|jpg|png)$')) THEN 'block'
+    WHEN path LIKE '/%' AND (host LIKE 'spam%' OR host LIKE '%.spam%' OR host LIKE 'ads.%' OR host LIKE '%.ads.%') THEN 'block'
+    WHEN path LIKE '/login/%' OR path LIKE '/cart/%' OR regexp_matches(path, '^/[^/]*/login/') OR path LIKE '%/wp-admin/%' THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM sited
+"""
+
+ORACLES = {"op3_ngram_join": _OP3, "op7_decontaminate": _OP7, "op10_chat_format": _OP10, "op13_url_filter": _OP13}

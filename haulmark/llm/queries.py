@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from haulmark.llm import chat, decontaminate, embeddings, licenses, ngram_join, passages, pieces, secrets, token_files, toxicity
+from haulmark.llm import (chat, chat_repair, decontaminate, embeddings, licenses, ngram_join, passages, pieces, secrets,
+                          token_files, toxicity, url_filter, whitening)
 from haulmark.llm.common import read
 from haulmark.llm.oracles import ORACLES  # noqa: F401
 
@@ -57,4 +58,17 @@ def op10_chat_format(spark, sf_dir):
     return chat.collapse_and_render(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_chat_repair(spark, sf_dir):
+    talks = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return chat_repair.report(chat_repair.damage(talks), talks.select("conv_id"))
+
+
+def op13_url_filter(spark, sf_dir):
+    return url_filter.judge(read(spark, sf_dir, "pages", "page_id", "url")).drop("pattern")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
