@@ -8,11 +8,12 @@ from haulmark.catalog.oracle import AS_OF, CUTOFF, roll
 from haulmark.catalog.registry import query
 from haulmark.functions import scalars as S
 from haulmark.operators import changes
-from haulmark.operators.keys import append_keys, dense_keys
+from haulmark.operators.keys import dense_keys, sequence_keys
 from haulmark.plans import fixed as X
 from haulmark.plans import loads, quality
 from haulmark.session import new_path
 from haulmark.sources import writes
+from haulmark.sources.ledger import Ledger
 from haulmark.sources.tables import INPUT_SCHEMAS, scan_csv
 
 _c = F.col
@@ -88,12 +89,48 @@ def s7(lake):
 SELECT shipment_id, row_number() OVER (ORDER BY created_at >= {CUTOFF}, created_at, shipment_id) AS sequence_key
 FROM shipments""")
 def s8(lake):
-    """A second load is numbered above the high-water mark of the first; no gaps, no reuse."""
-    rows = lake.shipments.select("shipment_id", "created_at")
+    """Two loads draw from one sequence: the second is numbered behind the first; no gaps, no reuse."""
+    rows = writes.stage(lake.shipments.select("shipment_id", "created_at"), "shipment-keys")
     recent = _c("created_at") >= F.lit(X.RECENT_CUTOFF).cast("timestamp_ntz")
-    first = dense_keys(rows.filter(~recent), ["created_at", "shipment_id"], "sequence_key")
-    second = append_keys(first, rows.filter(recent), ["created_at", "shipment_id"], "sequence_key")
-    return first.unionByName(second).select("shipment_id", "sequence_key")
+    ledger = Ledger(lake.spark, new_path(lake.spark, "ledger"))
+    loads_ = [sequence_keys(rows.filter(part), ["created_at", "shipment_id"], "sequence_key", ledger, "shipments", name)
+              for name, part in (("history", ~recent), ("recent", recent))]
+    return loads_[0].unionByName(loads_[1]).select("shipment_id", "sequence_key")
+
+
+_SHARED = """
+(SELECT 1 AS load_no, 'shipments' AS source, shipment_id AS source_id, created_at AS loaded_at FROM shipments
+ UNION ALL SELECT 2, 'packages', package_id, CAST(NULL AS TIMESTAMP) FROM packages
+ UNION ALL SELECT 3, 'freight_bills', freight_bill_id, created_at FROM freight_bills
+ UNION ALL SELECT 4, 'invoices', invoice_id, CAST(NULL AS TIMESTAMP) FROM invoices) s"""
+
+
+def _shared_loads(lake):
+    """Shipments, packages, bills and invoices numbered from one sequence, in the order in which they are loaded."""
+    ledger = Ledger(lake.spark, new_path(lake.spark, "ledger"))
+    orders = {"shipments": ("shipment_id", ["created_at"]), "packages": ("package_id", []),
+              "freight_bills": ("freight_bill_id", ["created_at"]), "invoices": ("invoice_id", [])}
+    rows = [sequence_keys(getattr(lake, name).select(_c(key).alias("source_id"), *first), [*first, "source_id"],
+                          "sequence_value", ledger, "tracking_number", name)
+            .select(F.lit(name).alias("source"), _c("source_id").cast("long"), "sequence_value")
+            for name, (key, first) in orders.items()]
+    return ledger, rows
+
+
+@query("s8_shared_sequence", f"""
+SELECT source, source_id, row_number() OVER (ORDER BY load_no, loaded_at, source_id) AS sequence_value FROM {_SHARED}""")
+def s8_shared(lake):
+    """One number sequence for four tables; every row of each has its own number."""
+    _, rows = _shared_loads(lake)
+    return rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3])
+
+
+@query("s8_sequence_ranges", f"""
+SELECT source AS load, CAST(sum(n) OVER w - n + 1 AS BIGINT) AS first, CAST(CASE WHEN n > 0 THEN sum(n) OVER w END AS BIGINT) AS last, n
+FROM (SELECT load_no, source, count(*) AS n FROM {_SHARED} GROUP BY 1, 2) c WINDOW w AS (ORDER BY load_no)""")
+def s8_ranges(lake):
+    """What the ledger says about the four loads: disjoint ranges without a gap between them."""
+    return _shared_loads(lake)[0].ranges("tracking_number")
 
 
 @query("s9_source_key_map", """
