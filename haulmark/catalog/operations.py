@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from haulmark.catalog.oracle import text_list
 from haulmark.catalog.registry import query
+from haulmark.operators.graphs import circles
 from haulmark.operators.ordered import latest_by
 from haulmark.plans import fixed as X
 from haulmark.plans import telemetry
@@ -94,6 +95,37 @@ def t6(lake):
     return telemetry.head_blockers(telemetry.requests(lake))
 
 
+_WAITING_SQL = """
+WITH RECURSIVE places AS (
+  SELECT CAST(datediff('day', DATE '2000-01-01', CAST(ts AS DATE)) AS BIGINT) * 1000000000 + user_id AS session_id,
+    CAST(ts AS DATE) AS day, event_id, k,
+    row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) AS age FROM scans),
+holders AS (SELECT day, k, max_by(session_id, event_id) AS holder FROM places WHERE age = 1 GROUP BY 1, 2),
+blocked AS (SELECT session_id, holder AS blocker FROM places JOIN holders USING (day, k) WHERE age = 2 AND session_id <> holder),
+reach AS (SELECT session_id, blocker FROM blocked UNION SELECT r.session_id, b.blocker FROM reach r JOIN blocked b ON r.blocker = b.session_id),
+circle AS (SELECT a.session_id, min(a.blocker) AS head, count(*) AS members FROM reach a JOIN reach b
+  ON a.session_id = b.blocker AND a.blocker = b.session_id GROUP BY 1)"""
+
+
+@query("t6_deadlocks", f"{_WAITING_SQL} SELECT head AS circle, session_id, members FROM circle")
+def t6_deadlocks(lake):
+    """Every circle of sessions that wait for each other, with its members."""
+    found = circles(telemetry.statement_waits(lake), "session_id", "blocking_session_id")
+    return found.select("circle", _c("node").alias("session_id"), "members")
+
+
+@query("t6_waiting_heads", f"""{_WAITING_SQL},
+walk AS (
+  SELECT session_id, head AS head_session, 0 AS depth FROM circle
+  UNION ALL SELECT DISTINCT blocker, blocker, 0 FROM blocked WHERE blocker NOT IN (SELECT session_id FROM blocked)
+  UNION ALL SELECT b.session_id, w.head_session, w.depth + 1 FROM blocked b JOIN walk w ON b.blocker = w.session_id
+    WHERE b.session_id NOT IN (SELECT session_id FROM circle))
+SELECT * FROM walk""")
+def t6_waiting_heads(lake):
+    """Head and depth of every waiting session; a deadlock is the head of what waits for it."""
+    return telemetry.head_blockers(telemetry.statement_waits(lake))
+
+
 _HISTORY_SQL = """
 (SELECT event_id, 'job_' || n_name AS job_name, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS run_date,
    CAST(strftime(ts, '%H%M%S') AS INTEGER) AS run_time, k AS run_duration,

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.operators.graphs import circles
 from haulmark.operators.ordered import latest_by
 from haulmark.operators.trees import walk_down
 from haulmark.plans import fixed as X
+from haulmark.sources.writes import stage
 
 _c = F.col
 
@@ -90,9 +92,10 @@ def blocking_pairs(lake) -> DataFrame:
 
 
 def head_blockers(edges: DataFrame) -> DataFrame:
-    """Root of every blocking chain. ``edges`` has session_id and blocking_session_id (> 0).
+    """Head of every blocking chain: session_id, head_session, depth. ``edges`` has session_id and blocking_session_id (> 0).
 
-    Sessions that wait in a circle hang under no root: they come out with a null head.
+    A chain that ends in a circle, a deadlock, has the circle for its head, named by its least session; the sessions on
+    the circle have depth 0. Only sessions that no free session blocks are searched for circles.
     """
     blocked = edges.filter("blocking_session_id > 0").select("session_id", "blocking_session_id")
     heads = blocked.select(_c("blocking_session_id").alias("session_id")).distinct().join(
@@ -101,9 +104,31 @@ def head_blockers(edges: DataFrame) -> DataFrame:
         heads.select("session_id", F.lit(None).cast("long")))
     walk = walk_down(nodes, "node", "parent").select(
         _c("node").alias("session_id"), _c("root").alias("head_session"), "depth")
-    circular = blocked.select("session_id").join(walk, "session_id", "left_anti").select(
-        "session_id", F.lit(None).cast("long").alias("head_session"), F.lit(None).cast("int").alias("depth"))
-    return walk.unionAll(circular)
+    waiting = stage(blocked.join(walk, "session_id", "left_anti"), "waiting")
+    if not waiting.limit(1).count():
+        return walk
+    ring = stage(circles(waiting, "session_id", "blocking_session_id"), "deadlocks")
+    below = waiting.join(ring, waiting["session_id"] == ring["node"], "left_anti")
+    hung = walk_down(ring.select("node", F.lit(None).cast("long").alias("parent"))
+                     .unionAll(below.select("session_id", "blocking_session_id")), "node", "parent")
+    named = ring.select(_c("node").alias("root"), _c("circle").alias("head_session"))
+    return walk.unionAll(hung.join(named, "root").select(_c("node").alias("session_id"), "head_session", "depth"))
+
+
+def statement_waits(lake) -> DataFrame:
+    """Who waits for whom at the end of each day: session_id and blocking_session_id.
+
+    The newest event of a user on a day holds its statement, and the one before wants its own; the user whose
+    newest event holds that statement last is in the way. A session is a user's day.
+    """
+    day = F.date_diff(F.to_date("ts"), F.lit("2000-01-01").cast("date")).cast("long") * 1_000_000_000
+    rows = scans(lake).select((day + _c("user_id")).alias("session_id"), day.alias("day"), "event_id", "k")
+    held = rows.groupBy("session_id", "day").agg(F.max(F.struct("event_id", "k")).alias("newest")).select(
+        "session_id", "day", "newest.event_id", "newest.k")
+    wanted = (rows.join(held.select(_c("event_id").alias("last_id")), _c("event_id") == _c("last_id"), "left_anti")
+              .groupBy("session_id", "day").agg(F.max(F.struct("event_id", "k"))["k"].alias("k")))
+    holder = held.groupBy("day", "k").agg(F.max(F.struct("event_id", "session_id"))["session_id"].alias("blocking_session_id"))
+    return wanted.join(holder, ["day", "k"]).filter("session_id <> blocking_session_id").select("session_id", "blocking_session_id")
 
 
 # ------------------------------------------------------------------------------ waits
