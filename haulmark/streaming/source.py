@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,16 +23,22 @@ def event_stream(spark: SparkSession, pattern: str, files_per_batch: int = 64) -
         F.when(_c("event_id") % 17 == 0, _c("ts") - F.expr("INTERVAL 2 DAY")).otherwise(_c("ts")).alias("late_ts"))
 
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession):
+    """Queries started in here keep their state in RocksDB, which arbitrary stateful operators need."""
+    before = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_STORE, before)
+
+
 def run_to_end(writer, progress: str) -> StreamingQuery:
     """Process what is there and stop. A later call with the same ``progress`` folder goes on from there."""
     query = writer.trigger(availableNow=True).option("checkpointLocation", progress).start()
     query.awaitTermination()
     return query
-
-
-def batches_before(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-    """What earlier micro-batches stored below ``path``, one folder each; a repeated batch does not see itself."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    names = [field.split()[0] for field in schema.split(", ")]
-    return spark.read.schema(f"{schema}, batch long").parquet(path).filter(_c("batch") < batch_id).select(*names)
