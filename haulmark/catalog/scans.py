@@ -12,7 +12,7 @@ from haulmark.operators.keys import dense_keys, sequence_keys
 from haulmark.plans import fixed as X
 from haulmark.plans import loads, quality
 from haulmark.session import new_path
-from haulmark.sources import writes
+from haulmark.sources import versions, writes
 from haulmark.sources.ledger import Ledger
 from haulmark.sources.tables import INPUT_SCHEMAS, scan_csv
 
@@ -145,6 +145,16 @@ def s9(lake):
     return key_map.join(target, "freight_key")
 
 
+def _loaded(lake, **tables):
+    """A store of versioned tables with these as its first version."""
+    store = versions.Store(lake.spark, new_path(lake.spark, "store"))
+    change = store.change()
+    for name, rows in tables.items():
+        change.replace(name, rows)
+    change.commit()
+    return store
+
+
 @query("s10_update_from_join", """
 SELECT freight_bill_id, bol_number, total_weight_kg, total_pallets FROM freight_bills""", money="total_weight_kg")
 def s10(lake):
@@ -154,7 +164,11 @@ def s10(lake):
     bills = lake.freight_bills.select(
         "freight_bill_id", "bol_number", F.lit("1.00").cast("decimal(10,2)").alias("total_weight_kg"),
         F.lit(1).cast("long").alias("total_pallets"))
-    return changes.update_from(bills, sums, "freight_bill_id", ["total_weight_kg", "total_pallets"])
+    store = _loaded(lake, bills=bills)
+    change = store.change()
+    change.update_from("bills", sums, "freight_bill_id", ["total_weight_kg", "total_pallets"])
+    change.commit()
+    return store.read("bills")
 
 
 @query("s11_conditional_update", f"""
@@ -172,15 +186,43 @@ def s11(lake):
         (recent, F.lit(3)), (recent & (status == "OutForDelivery"), F.lit(4)),
         (status == "Delivered", F.lit(4)), (status.isin("FailedDelivery", "Returned"), F.lit(5)),
         (status == "Cancelled", F.lit(3))])
-    return lake.shipments.select("shipment_id", planned.alias("planned_events"))
+    rows = lake.shipments.select("shipment_id", "shipment_status", "created_at", F.lit(0).alias("planned_events"))
+    store = _loaded(lake, shipments=rows)
+    change = store.change()
+    change.update("shipments", planned != 0, {"planned_events": planned})
+    change.commit()
+    return store.read("shipments").select("shipment_id", "planned_events")
 
 
 @query("s12_delete_where", """
 SELECT shipment_id, retail_payment_status FROM shipments
 WHERE NOT coalesce(retail_payment_status = 'Paid', FALSE)""")
 def s12(lake):
-    rows = lake.shipments.select("shipment_id", "retail_payment_status")
-    return changes.delete_where(rows, _c("retail_payment_status") == "Paid")
+    store = _loaded(lake, shipments=lake.shipments.select("shipment_id", "retail_payment_status"))
+    change = store.change()
+    change.delete("shipments", _c("retail_payment_status") == "Paid")
+    change.commit()
+    return store.read("shipments")
+
+
+@query("s12_versions", """
+SELECT version, CASE WHEN version >= 3 AND shipment_id % 2 = 0 THEN coalesce(retail_payment_status, 'None')
+  ELSE retail_payment_status END AS status, count(*) AS n
+FROM (VALUES (1), (2), (3), (4)) v(version), shipments
+WHERE version = 1 OR NOT coalesce(retail_payment_status = 'Paid', FALSE) GROUP BY 1, 2""")
+def s12_versions(lake):
+    """The payment states of shipments in every version of a table: loaded, reduced, updated and merged."""
+    store = _loaded(lake, shipments=lake.shipments.select("shipment_id", _c("retail_payment_status").alias("status")))
+    steps = [lambda c: c.delete("shipments", _c("status") == "Paid"),
+             lambda c: c.update("shipments", _c("status").isNull() & (_c("shipment_id") % 2 == 0), {"status": F.lit("None")}),
+             lambda c: c.merge("shipments")]
+    for step in steps:
+        change = store.change()
+        step(change)
+        change.commit()
+    seen = [store.read("shipments", v).select(F.lit(v).alias("version"), "status") for v in (1, 2, 3, 4)]
+    rows = seen[0].unionAll(seen[1]).unionAll(seen[2]).unionAll(seen[3])
+    return rows.groupBy("version", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("s13_self_reference", "SELECT facility_code, facility_id, parent_code, parent_facility_id FROM facilities")
@@ -212,12 +254,12 @@ SELECT 'invoices' AS table_name, count(*) AS n, CAST(sum(total_amount) AS DECIMA
 UNION ALL SELECT 'invoice_lines', count(*), CAST(sum(line_amount) AS DECIMAL(18,2)) FROM invoice_lines
 UNION ALL SELECT 'payments', count(*), CAST(sum(amount_paid) AS DECIMAL(18,2)) FROM payments""", money="amount")
 def s16(lake):
-    """Finance tables are staged, checked and published together."""
-    root = new_path(lake.spark, "finance")
+    """Finance tables are written, checked against themselves and the stored tables they refer to, and published together."""
+    store = versions.Store(lake.spark, new_path(lake.spark, "finance"))
     tables = {name: getattr(lake, name) for name in ("invoices", "invoice_lines", "payments")}
-    writes.publish(lake.spark, root, tables, quality.count_violations)
+    versions.publish(store, tables, lambda staged: quality.count_violations(staged, lake.warehouse))
     amounts = {"invoices": "total_amount", "invoice_lines": "line_amount", "payments": "amount_paid"}
-    parts = [writes.current(lake.spark, root, name).agg(
+    parts = [store.read(name).agg(
         F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"),
         F.sum(column).cast("decimal(18,2)").alias("amount")) for name, column in amounts.items()]
     return parts[0].unionAll(parts[1]).unionAll(parts[2])

@@ -243,10 +243,38 @@ def key_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([unique_report(name, df, key) for name, df in tables.items() for key in RULES[name].keys])
 
 
-def reference_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return union_all([reference_report(name, df, column, target, tables[target], key)
-                      for name, df in tables.items() for column, target, key in RULES[name].refs
-                      if target in tables])
+class UncheckedReference(LookupError):
+    """A reference whose target is not at hand."""
+
+
+def reference_rules(tables: Mapping[str, DataFrame], stored: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Orphans of every declared reference. A target that is not among ``tables`` is looked up in ``stored``; one that is
+    in neither raises, since its rows cannot be known to be right."""
+    parts = []
+    for name, df in tables.items():
+        for column, target, key in RULES[name].refs:
+            of = tables if target in tables else stored or {}
+            if target not in of:
+                raise UncheckedReference(f"{name}.{column} refers to {target}, which is not there")
+            parts.append(reference_report(name, df, column, target, of[target], key))
+    return union_all(parts)
+
+
+def sum_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Totals that have to agree with their parts: invoices with lines, bills with pallets. A part that is missing counts."""
+    def differ(name, rule, heads, parts, key, total):
+        sums = parts.groupBy(key).agg(F.sum("part").alias("parts"))
+        return (heads.select(key, total).join(sums, key, "full_outer")
+                .agg(F.count_if(~F.col(total).eqNullSafe(F.col("parts"))).alias("violations"))
+                .select(F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), "violations"))
+    parts = []
+    if {"invoices", "invoice_lines"} <= set(tables):
+        lines = tables["invoice_lines"].select("invoice_id", F.col("line_amount").alias("part"))
+        parts.append(differ("invoices", "sum:invoice_lines", tables["invoices"], lines, "invoice_id", "total_amount"))
+    if {"freight_bills", "pallets"} <= set(tables):
+        weights = tables["pallets"].select("freight_bill_id", F.col("weight_kg").alias("part"))
+        parts.append(differ("freight_bills", "sum:pallets", tables["freight_bills"], weights, "freight_bill_id", "total_weight_kg"))
+    return union_all(parts)
 
 
 def structure_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -285,9 +313,10 @@ def require_clean(report: DataFrame) -> None:
         raise RuleViolation("; ".join(f"{r.table_name} {r.rule}: {r.violations}" for r in bad))
 
 
-def count_violations(tables: Mapping[str, DataFrame]) -> int:
-    """Violations of the row, key and reference rules; references out of the given tables are not followed."""
-    report = union_all([row_rules(tables), key_rules(tables), reference_rules(tables)])
+def count_violations(tables: Mapping[str, DataFrame], stored: Mapping[str, DataFrame] | None = None) -> int:
+    """Violations of the row, key and reference rules and of totals; references lead to the given tables or to ``stored``."""
+    report = union_all([row_rules(tables), key_rules(tables), reference_rules(tables, stored)]
+                       + ([sum_rules(tables)] if {"invoices", "invoice_lines"} <= set(tables) or {"freight_bills", "pallets"} <= set(tables) else []))
     return report.agg(F.coalesce(F.sum("violations"), F.lit(0)).cast("long")).first()[0]
 
 

@@ -1,9 +1,7 @@
-"""Sinks: staged tables, appends, partitioned logs, compaction, and all-or-nothing publishing."""
+"""Sinks: staged tables, appends, partitioned logs and compaction."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,31 +59,3 @@ def compact(spark: SparkSession, source: str, target: str, order: list[str],
     total = file_sizes(spark, source).agg(F.coalesce(F.sum("length"), F.lit(0)).cast("long")).first()[0]
     (spark.read.parquet(source).repartitionByRange(max(1, -(-total // file_bytes)), *order)
      .sortWithinPartitions(*order).write.parquet(target))
-
-
-class PublishError(RuntimeError):
-    """A load broke one of its checks; nothing was published."""
-
-
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
-            violations: Callable[[dict[str, DataFrame]], int]) -> str:
-    """Stage all tables, check the staged copies, then make them current by one small pointer write.
-
-    Readers follow the newest pointer, so they see either the whole load or none of it.
-    """
-    staged, version = {}, new_path(spark, "load")
-    for name, df in tables.items():
-        df.write.parquet(f"{version}/{name}")
-        staged[name] = spark.read.schema(df.schema).parquet(f"{version}/{name}")
-    broken = violations(staged)
-    if broken:
-        raise PublishError(f"{broken} violations; {version} stays unpublished")
-    pointer = spark.createDataFrame([(version,)], "version string").withColumn("at", F.current_timestamp())
-    pointer.coalesce(1).write.mode("append").parquet(f"{root}/_current")
-    return version
-
-
-def current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the newest published load. The pointer holds one row per load."""
-    version = (spark.read.parquet(f"{root}/_current").agg(F.max_by("version", "at")).first()[0])
-    return spark.read.parquet(f"{version}/{name}")

@@ -8,16 +8,6 @@ from haulmark.sources.tables import INPUT_SCHEMAS, scan_csv
 from tests.conftest import SF_DIR, rows
 
 
-def test_failed_check_publishes_nothing(spark):
-    root = new_path(spark, "publish")
-    writes.publish(spark, root, {"t": spark.range(3)}, lambda staged: 0)
-    with pytest.raises(writes.PublishError):
-        writes.publish(spark, root, {"t": spark.range(99)}, lambda staged: staged["t"].filter("id > 50").count())
-    assert writes.current(spark, root, "t").count() == 3
-    writes.publish(spark, root, {"t": spark.range(5)}, lambda staged: 0)
-    assert writes.current(spark, root, "t").count() == 5
-
-
 def test_counted_write(spark):
     path = new_path(spark, "counted")
     assert writes.counted_write(spark.range(41), path) == 41 == spark.read.parquet(path).count()
