@@ -52,9 +52,11 @@ def range_join(facts: DataFrame, ranges: DataFrame, value: str, low: str, high:
 
 
 def effective_join(facts: DataFrame, history: DataFrame, on_date: Column, keys: list[str],
-                   start: str = "effective_from", end: str = "effective_to", how: str = "inner") -> DataFrame:
+                   start: str = "effective_from", end: str = "effective_to", how: str = "inner",
+                   also: Column | None = None) -> DataFrame:
     """Match the history row in force on a date; both ends are inclusive, a null end is still open.
 
+    ``also`` is a further condition on both sides, named f (facts) and h (history).
     ``on_date`` must be a DATE: a timestamp on the last day would fall behind that day's midnight.
     """
     dated = facts.withColumn("__on", on_date.cast("date"))
@@ -62,6 +64,7 @@ def effective_join(facts: DataFrame, history: DataFrame, on_date: Column, keys:
         F.col("h." + end).isNull() | (F.col("f.__on") <= F.col("h." + end)))
     for name in keys:
         match = match & (F.col(f"f.{name}") == F.col(f"h.{name}"))
+    match = match if also is None else match & also
     extra = [F.col(f"h.{c}") for c in history.columns if c not in keys]
     return (dated.alias("f").join(history.alias("h"), match, how)
             .select(*[F.col(f"f.{c}") for c in facts.columns], *extra))

@@ -13,14 +13,17 @@ _c = F.col
 
 
 def package_quotes(lake) -> DataFrame:
-    """Price of a package: rate in force on the ship date for its tier and zone, plus the charge per kg."""
+    """Price of a package: rate in force on the ship date for its tier and zone, plus the charge per kg.
+
+    A package that no card covers, by date or weight, stays with a null quote.
+    """
     boxes = lake.packages.select(
         "package_id", "service_tier", _c("origin_nation").alias("zone_id"), "created_at",
         S.billable_weight(_c("actual_weight_kg"), _c("dim_weight_kg")).alias("billable_kg"))
-    rated = effective_join(boxes, lake.rate_cards.drop("rate_currency"), _c("created_at"), ["service_tier", "zone_id"])
-    inside = _c("billable_kg").between(_c("min_weight_kg"), _c("max_weight_kg"))
-    return rated.filter(inside).withColumn(
-        "quote", (_c("base_rate") + _c("per_kg") * _c("billable_kg")).cast("decimal(12,4)"))
+    inside = _c("f.billable_kg").between(_c("h.min_weight_kg"), _c("h.max_weight_kg"))
+    rated = effective_join(boxes, lake.rate_cards.drop("rate_currency"), _c("created_at"), ["service_tier", "zone_id"],
+                           how="left", also=inside)
+    return rated.withColumn("quote", (_c("base_rate") + _c("per_kg") * _c("billable_kg")).cast("decimal(12,4)"))
 
 
 def split_payments(lake) -> DataFrame:

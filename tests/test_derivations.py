@@ -77,7 +77,7 @@ def test_chains_and_circles_of_blockers(spark):
                                   "session_id long, blocking_session_id long")
     got = {r.session_id: (r.head_session, r.depth) for r in telemetry.head_blockers(edges).collect()}
     assert got == {1: (1, 0), 2: (1, 1), 3: (1, 2), 4: (1, 2),
-                   7: (None, None), 8: (None, None), 9: (None, None), 10: (None, None)}
+                   7: (7, 0), 8: (7, 0), 9: (7, 0), 10: (7, 1)}  # a deadlock is the head of what waits for it
 
 
 def test_tree_paths(spark):
@@ -111,3 +111,16 @@ def test_entry_contract(spark):
     import __spark_entry__ as entry
     assert entry.entry(spark).columns == ["service_tier", "month", "packages", "billable_kg", "revenue"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_packages_without_a_card_keep_a_null_quote(spark, lake):
+    """Too early, too heavy, or of a tier without cards: nothing disappears from the revenue."""
+    class Some:
+        rate_cards = lake.rate_cards
+        packages = lake.packages.limit(5).withColumn("n", F.monotonically_increasing_id() % 5).select(
+            "package_id", "origin_nation", "dim_weight_kg",
+            F.when(F.col("n") == 1, "Drone").otherwise(F.col("service_tier")).alias("service_tier"),
+            F.when(F.col("n") == 2, F.lit("1990-01-01").cast("timestamp_ntz")).otherwise(F.col("created_at")).alias("created_at"),
+            F.when(F.col("n") == 3, F.lit("5000.00").cast("decimal(8,2)")).otherwise(F.col("actual_weight_kg")).alias("actual_weight_kg"))
+    got = billing.package_quotes(Some).select("package_id", "quote").collect()
+    assert len(got) == 5 == len({r.package_id for r in got}) and sum(r.quote is None for r in got) == 3
