@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from haulmark.catalog.registry import query
 from haulmark.catalog.summaries import table_counts
-from haulmark.plans import loads, quality, telemetry
+from haulmark.plans import copies, loads, quality, telemetry
 from haulmark.plans import fixed as X
 from haulmark.plans.quality import RULES, row_predicates
 from haulmark.sources.writes import stage
@@ -189,6 +189,53 @@ def q12(lake):
     return quality.union_all(parts)
 
 
+_DAMAGED = {"shipments": ("shipment_id", "shipment_id % 997 = 7"), "invoices": ("invoice_id", "invoice_id % 499 = 3"),
+            "tracking_events": ("event_id", "event_id % 99991 = 5")}
+
+
+def _two_trees(lake):
+    """The stored tables and a copy of each; in three copies something is wrong: a status is lost, rows are missing, and a
+    value stands in the column next to its own."""
+    source = tables(lake)
+    copied = {name: stage(source[name], f"copy-{name}") for name in loads.LOAD_ORDER}
+    broken = F.expr(_DAMAGED["shipments"][1])
+    copied["shipments"] = copied["shipments"].withColumn(
+        "shipment_status", F.when(broken, "Lost").otherwise(_c("shipment_status")))
+    copied["invoices"] = copied["invoices"].filter(f"NOT {_DAMAGED['invoices'][1]}")
+    moved = F.expr(_DAMAGED["tracking_events"][1])
+    copied["tracking_events"] = copied["tracking_events"].withColumns({
+        "package_id": F.when(moved, _c("pallet_id")).otherwise(_c("package_id")),
+        "pallet_id": F.when(moved, _c("package_id")).otherwise(_c("pallet_id"))})
+    return copies.HashTree(source, loads.LOAD_ORDER), copies.HashTree(copied, loads.LOAD_ORDER)
+
+
+def _damaged_sql(name):
+    key, condition = _DAMAGED[name]
+    leaf = f"{key} - {key} % {copies.LEAF_KEYS}"
+    gone = f" FILTER (WHERE NOT {condition})" if name == "invoices" else ""
+    return (f"SELECT '{name}' AS table_name, CAST({leaf} AS BIGINT) AS low, CAST({leaf} + {copies.LEAF_KEYS - 1} AS BIGINT) AS high, "
+            f"count(*) AS rows_a, count(*){gone} AS rows_b FROM {name} GROUP BY 2, 3 HAVING count(*) FILTER (WHERE {condition}) > 0")
+
+
+_RANGES_SQL = " UNION ALL ".join(map(_damaged_sql, _DAMAGED))
+
+
+@query("q12_damaged_ranges", _RANGES_SQL)
+def q12_ranges(lake):
+    """The key ranges in which a copy of the 22 tables differs from its source."""
+    return copies.differing(*_two_trees(lake))
+
+
+@query("q12_all_copies", f"""
+WITH ranges AS ({_RANGES_SQL}), lost AS (SELECT table_name, sum(rows_a - rows_b) AS n, count(*) AS ranges FROM ranges GROUP BY 1),
+sizes AS ({" UNION ALL ".join(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n" for t in loads.LOAD_ORDER)})
+SELECT table_name, s.n AS rows_a, CAST(s.n - coalesce(l.n, 0) AS BIGINT) AS rows_b, coalesce(l.ranges, 0) AS ranges, l.n IS NULL AS same
+FROM sizes s LEFT JOIN lost l USING (table_name)""")
+def q12_all(lake):
+    """Every table against its copy: rows on both sides and the number of key ranges that differ."""
+    return copies.verdicts(*_two_trees(lake))
+
+
 _PROFILED = ["service_tier", "shipment_status", "retail_payment_method", "sender_account_id"]
 
 
