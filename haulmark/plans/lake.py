@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.functions import scalars as S
@@ -634,6 +634,10 @@ class Lake:
 
     @cached_property
     def invoice_heads(self) -> DataFrame:
+        """Stored, since lines, totals and everything behind them start here."""
+        return self.once("invoice-heads", self._invoice_heads)
+
+    def _invoice_heads(self) -> DataFrame:
         month = F.add_months(F.make_date("inv_year", "inv_month", F.lit(1)), 1)
         us = _c("country_code") == "US"
         return self.number_invoices().select(
@@ -654,19 +658,27 @@ class Lake:
 
     @cached_property
     def invoice_totals(self) -> DataFrame:
+        """Stored, since invoices and payments both read it."""
+        return self.once("invoice-totals", self._invoice_totals)
+
+    def _invoice_totals(self) -> DataFrame:
         """Totals are summed per (account, month) before the invoice id is looked up."""
         sums = self.account_shipments.groupBy("account_id", "inv_year", "inv_month").agg(
             F.sum("line_amount").cast("decimal(12,2)").alias("total_amount"),
             F.count(F.lit(1)).alias("line_count"))
         return self.invoice_heads.join(sums, ["account_id", "inv_year", "inv_month"])
 
+    @staticmethod
+    def _gets_paid() -> Column:
+        """Of an invoice: it is old enough and is paid."""
+        return (S.bucket(_c("invoice_id"), 31, 5) < 88) & (F.date_diff(F.lit(X.AS_OF), _c("invoice_date")) >= 15)
+
     @cached_property
     def payments(self) -> DataFrame:
         """Full payments of the invoices that are old enough and get paid."""
         i = _c("invoice_id")
         method = F.when(i % 4 == 0, "Wire").when(i % 4 == 1, "ACH").when(i % 4 == 2, "Check").otherwise("EFT")
-        age = F.date_diff(F.lit(X.AS_OF), _c("invoice_date"))
-        return self.invoice_totals.filter((S.bucket(i, 31, 5) < 88) & (age >= 15)).select(
+        return self.invoice_totals.filter(self._gets_paid()).select(
             i.alias("payment_id"), "invoice_id",
             F.date_add("invoice_date", (i * 3 % 31 + 15).cast("int")).alias("payment_date"),
             _c("total_amount").alias("amount_paid"), "currency", "rate_to_usd", method.alias("payment_method"),
@@ -674,10 +686,10 @@ class Lake:
 
     @cached_property
     def invoices(self) -> DataFrame:
-        """Invoices with total and status: by age first, paid once a payment exists."""
-        paid = self.payments.select("invoice_id").withColumn("is_paid", F.lit(True))
+        """Invoices with total and status: by age first, paid once a payment exists. An invoice has one payment or none,
+        by a rule on the invoice itself, so no join is needed to know."""
         age = F.date_diff(F.lit(X.AS_OF), _c("invoice_date"))
-        return self.invoice_totals.join(paid, "invoice_id", "left").select(
+        return self.invoice_totals.select(
             "invoice_id", "invoice_number", "account_id", "inv_year", "inv_month", "invoice_date", "due_date",
             "total_amount", "currency", "rate_to_usd",
-            F.when(_c("is_paid"), "Paid").when(age > 60, "Overdue").otherwise("Issued").alias("invoice_status"))
+            F.when(self._gets_paid(), "Paid").when(age > 60, "Overdue").otherwise("Issued").alias("invoice_status"))
