@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from haulmark.catalog.registry import query
 from haulmark.catalog.summaries import table_counts
-from haulmark.plans import copies, loads, quality, telemetry
+from haulmark.plans import copies, loads, quality, statistics, telemetry
 from haulmark.plans import fixed as X
 from haulmark.plans.quality import RULES, row_predicates
+from haulmark.session import new_path
 from haulmark.sources.writes import stage
 
 _c = F.col
@@ -249,3 +250,26 @@ def q13(lake):
     newest = stored.agg(F.max(F.to_date("created_at"))).scalar()
     return quality.profile(stored, _PROFILED).drop("approx_distinct").withColumn(
         "age_days", F.date_diff(F.lit(X.AS_OF), newest).cast("long"))
+
+
+def _column_sql(table):
+    """Rows, nulls and extremes of every column of a table, whatever its columns are. Lengths are stored with two decimals."""
+    source = table if table != "packages" else "(SELECT * REPLACE (" + ", ".join(
+        f"CAST({c} AS DECIMAL(8,2)) AS {c}" for c in ("length_cm", "width_cm", "height_cm")) + ") FROM packages)"
+
+    def turned(value, name):
+        return (f"(SELECT column_name, {name} FROM (SELECT {value} AS '\\0' FROM {source}) "
+                f"UNPIVOT INCLUDE NULLS ({name} FOR column_name IN (COLUMNS(*))))")
+    return (f"SELECT '{table}' AS table_name, column_name, (SELECT count(*) FROM {table}) AS n_rows, nulls, smallest, largest "
+            f"FROM {turned('count(*) - count(COLUMNS(*))', 'nulls')} a "
+            f"JOIN {turned('CAST(min(COLUMNS(*)) AS VARCHAR)', 'smallest')} b USING (column_name) "
+            f"JOIN {turned('CAST(max(COLUMNS(*)) AS VARCHAR)', 'largest')} c USING (column_name)")
+
+
+@query("q13_all_columns", " UNION ALL ".join(map(_column_sql, loads.LOAD_ORDER)))
+def q13_all(lake):
+    """Every column of the 22 tables, from the stored statistics of their loads."""
+    kept = statistics.Statistics(lake.spark, new_path(lake.spark, "statistics"))
+    for name in loads.LOAD_ORDER:
+        kept.add("first", name, tables(lake)[name])
+    return statistics.exact(kept.merged())

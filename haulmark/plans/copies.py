@@ -9,14 +9,13 @@ below nodes that differ, so the work follows the differences, not the tables.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.plans.quality import RULES
 from haulmark.session import new_path
-from haulmark.sources.writes import stage
+from haulmark.sources.writes import append, stage
 
 _LEAF_BITS, _FAN_BITS = 12, 8
 LEAF_KEYS, FANOUT = 1 << _LEAF_BITS, 1 << _FAN_BITS
@@ -56,8 +55,12 @@ class HashTree:
         names = list(tables) if names is None else names
         self.spark = tables[names[0]].sparkSession
         self.path = new_path(self.spark, "hash-tree")
-        leaves = stage(reduce(DataFrame.unionAll, (_leaves(n, tables[n]) for n in names)), "hash-leaves")
-        self.schema = leaves.schema
+        folder = new_path(self.spark, "hash-leaves")
+        for name in names:  # one by one: a plan over all tables would be analysed anew with every table that joins it
+            part = _leaves(name, tables[name])
+            append(part, folder)
+        self.schema = part.schema
+        leaves = self.spark.read.schema(self.schema).parquet(folder)
         above = leaves.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(TOP))))
         folded = above.groupBy("level", "table_name", _node_at(_c("level")).alias("up")).agg(
             F.sum("n_rows").alias("rows"), *_content("node", "n_rows", "content", "mixed"))
