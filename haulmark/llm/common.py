@@ -8,10 +8,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.session import ship_package
-from haulmark.sources.writes import stage
+from haulmark.session import new_path, ship_package
+from haulmark.sources.writes import discard, stage
 
-__all__ = ["components", "map_batches", "read", "record_batch", "stage"]
+__all__ = ["Rounds", "components", "map_batches", "read", "record_batch", "stage"]
+
+
+class Rounds:
+    """Stored tables of a job with many rounds, each removed as soon as no later step reads it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        path = new_path(self.spark, label)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Remove tables that this object stored; what reads them must be stored itself by now."""
+        for table in tables:
+            if table is not None and id(table) in self.paths:
+                discard(self.spark, self.paths.pop(id(table))[1])
+
+    def drop_all(self) -> None:
+        self.drop(*(table for table, _ in list(self.paths.values())))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -39,21 +62,25 @@ def components(edges: DataFrame, a: str, b: str, label: str = "components") -> D
     Each round takes the smallest label among a node's neighbours and then jumps to that label's own label, so
     the number of rounds follows the logarithm of the longest path. Sums and minima are partial aggregates and
     the joins have no hot side that AQE could not split. Rounds are written to the shared folder, which cuts
-    the lineage; the driver sees one number per round.
+    the lineage, and removed when the next one stands; the driver sees one number per round.
     """
-    both = stage(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+    rounds = Rounds(edges.sparkSession)
+    both = rounds.stage(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
                  .union(edges.select(F.col(b), F.col(a))).filter("u <> v").distinct(), f"{label}-edges")
-    labels = stage(both.groupBy("u").agg(F.min("v").alias("v"))
+    labels = rounds.stage(both.groupBy("u").agg(F.min("v").alias("v"))
                    .select(F.col("u").alias("node"), F.least("u", "v").alias("component")), f"{label}-0")
+    held = labels
     while True:
         near = (both.join(labels, both["v"] == labels["node"]).groupBy("u")
                 .agg(F.min("component").alias("near")))
         hooked = (labels.join(near, labels["node"] == near["u"])
                   .select("node", "component", F.least("component", "near").alias("new")))
         roots = labels.select(F.col("node").alias("root"), F.col("component").alias("jump"))
-        after = stage(hooked.join(roots, hooked["new"] == roots["root"])
+        after = rounds.stage(hooked.join(roots, hooked["new"] == roots["root"])
                       .select("node", F.least("new", "jump").alias("component"),
                               (F.least("new", "jump") < F.col("component")).alias("moved")), label)
-        labels = after.select("node", "component")
+        rounds.drop(held)
+        held, labels = after, after.select("node", "component")
         if not after.filter("moved").limit(1).count():
+            rounds.drop(both)
             return labels

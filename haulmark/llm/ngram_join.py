@@ -3,17 +3,21 @@
 A text's set is its distinct shingles of ``width`` words. Texts with equal sets are one node. Two nodes whose
 similarity reaches the threshold share at least t = ceil(threshold * n) shingles, so their prefixes of n - t + k
 shingles, in any common order, share at least k. The order is rare first, by a counting sketch over all shingles,
-and k = 1 + n // 50, the smaller of both nodes'. Lists hold prefixes only, and lists of one node go.
+and k = 1 + n // 50, the smaller of both nodes'. Lists hold prefixes only; lists of one node go, and nodes with fewer
+lists than any pair of theirs would share.
 
-1. Each node is compared with one node of another component: the first node of the lists that they share most of. A
-   few turns, each with another order of the nodes, link nearly all of a large group of copies with one pair per
-   node and turn.
+1. Each node is compared with one node of another component: the first node of the lists that they share most of.
+   Turns, each with another order of the nodes, link nearly all of a large group of copies with one pair per
+   node and turn; they go on while they link more than one of ``STOP`` nodes, at most ``LEADER_TURNS`` times.
 2. The exact search covers what is left: only lists that still hold nodes of different components, and only pairs of
    different components. Short lists, and all lists of a node whose prefix has so many long ones that k could be
    reached by these alone (a heavy node), come to the querying node and are heap-merged; the long lists of a pair that
    is not of two heavy nodes are probed by binary search in the candidate's own list numbers. A light node has fewer
    long lists than k, so such a pair meets in a short one. Candidates that reach k are compared.
 
+A pair is first held against the parities of both sets: bits by hash, at least one per shingle. Where they differ, the
+sets differ, so pairs with too many such bits go without a loss, in the exact search before its lists are merged; only the
+others bring their sets together.
 Every comparison is exact, on the whole sets. Lists and members are joined in chunks of bounded size.
 
 Defined cases: null and wordless texts have no set and no links; a text of fewer than ``width`` words has its whole
@@ -24,7 +28,9 @@ its smallest doc_id that is not null.
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 from itertools import groupby
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +38,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm import sketch, text
-from haulmark.llm.common import components, map_batches, record_batch, stage
+from haulmark.llm.common import Rounds, components, map_batches, record_batch, stage
 
 LONG_LIST = 256
-LEADER_TURNS = 3
+LEADER_TURNS = 12
+STOP = 50
+_LEAST_BITS = 256
+_WORDS = _LEAST_BITS // 64
 _ADD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,6 +68,36 @@ def _node(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return text.mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64) * _ADD).view(np.int64)
 
 
+def _parities(hashes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """For each set the parity of its hashes by their low bits, in a power of two of bits not below its size."""
+    n = np.diff(bounds)
+    bits = np.where(n > 0, np.maximum(_LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)), 0)
+    ends = np.concatenate([[0], np.cumsum(bits)])
+    place = (hashes & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64) + np.repeat(ends[:-1], n)
+    odd = (np.bincount(place, minlength=ends[-1]) & 1).astype(np.uint8)
+    held = np.packbits(odd, bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((ends // 8).astype(np.int32)), pa.py_buffer(held)])
+
+
+def _short_parities(hashes: np.ndarray, owner: np.ndarray, sets: int) -> pa.Array:
+    """The same folded to four words of 64 bits."""
+    place = (hashes & np.uint64(_LEAST_BITS - 1)).astype(np.int64) + owner * _LEAST_BITS
+    odd = (np.bincount(place, minlength=sets * _LEAST_BITS) & 1).astype(np.uint8)
+    words = np.packbits(odd, bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, _WORDS), pa.int32()), pa.array(words))
+
+
+def _differing(x: bytes, y: bytes) -> int:
+    """At least so many shingles are in one of the sets only. The longer row of parities is folded to the shorter's."""
+    if len(x) > len(y):
+        x, y = y, x
+    mine, other, size = int.from_bytes(x, "little"), int.from_bytes(y, "little"), len(y) * 8
+    while size > len(x) * 8:
+        size //= 2
+        other = (other >> size) ^ (other & ((1 << size) - 1))
+    return (mine ^ other).bit_count()
+
+
 def _needed(n, percent):
     return -(-percent * n // 100)
 
@@ -68,7 +107,7 @@ def _k(n):
 
 
 def signed_sets(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, node and the prefix (hashes, in rare-first order) of each row."""
+    """doc_id, n, node, the prefix (hashes, in rare-first order) and the parities of each row."""
     docs = documents.select("doc_id", "text")
 
     def all_hashes(batch):
@@ -77,7 +116,7 @@ def signed_sets(documents: DataFrame, width: int, percent: int) -> DataFrame:
     rarity = docs.sparkSession.sparkContext.broadcast(sketch.counts(docs.select("text"), all_hashes))
 
     def each(batch):
-        size, node, prefix = [], [], []
+        size, node, prefix, parity, short = [], [], [], [], []
         for _, hashes, bounds, owner in _sets(batch.column(1), width):
             n = np.diff(bounds)
             order = np.lexsort((hashes, rarity.value[sketch.slots(hashes)], owner))
@@ -88,66 +127,97 @@ def signed_sets(documents: DataFrame, width: int, percent: int) -> DataFrame:
             size.append(n)
             node.append(_node(hashes, bounds))
             prefix.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lists)))
+            parity.append(_parities(hashes, bounds))
+            short.append(_short_parities(hashes, owner, len(n)))
         yield record_batch(doc_id=batch.column(0), n=pa.array(np.concatenate(size or [np.zeros(0, np.int64)]), pa.int64()),
                            node=pa.array(np.concatenate(node or [np.zeros(0, np.int64)])),
-                           prefix=pa.concat_arrays(prefix) if prefix else pa.array([], pa.list_(pa.int64())))
-    return stage(map_batches(docs, "doc_id long, n long, node long, prefix array<long>", each), "jaccard-sets")
+                           prefix=pa.concat_arrays(prefix) if prefix else pa.array([], pa.list_(pa.int64())),
+                           parity=pa.concat_arrays(parity) if parity else pa.array([], pa.binary()),
+                           short=pa.concat_arrays(short) if short else pa.array([], pa.list_(pa.int64())))
+    return map_batches(docs, "doc_id long, n long, node long, prefix array<long>, parity binary, short array<long>", each)
 
 
 def _compatible(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def verified(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar enough."""
-    pairs = stage(pairs.select("a", "b"), "jaccard-pairs")
-    nodes = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-asked")
+def _least_k(percent: int) -> Column:
+    """A partner may be smaller, and then so is its k: the smallest k that a pair with this node can have."""
+    return F.floor(F.floor(F.col("n") * percent / 100) / 50) + 1
+
+
+def node_sets(documents: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """node and its set, as sorted hashes, of the given nodes. A sketch of them keeps most other texts out of the shuffle."""
     asked = documents.sparkSession.sparkContext.broadcast(
         sketch.counts(nodes, lambda batch: [text.mix(batch.column(0).to_numpy().view(np.uint64))]) > 0)
 
-    def texts(batch):
-        for row, hashes, bounds, _ in _sets(batch.column(0), width):
+    def each(batch):
+        for _, hashes, bounds, _ in _sets(batch.column(0), width):
             node = _node(hashes, bounds)
-            kept = np.flatnonzero(asked.value[sketch.slots(text.mix(node.view(np.uint64)))])
-            yield record_batch(node=pa.array(node[kept]), text=batch.column(0).take(pa.array(row + kept)))
-    found = map_batches(documents.select("text"), "node long, text string", texts)
-    held = stage(found.join(nodes, "node").groupBy("node").agg(F.max("text").alias("text")), "jaccard-texts")
+            kept = np.flatnonzero(asked.value[sketch.slots(text.mix(node.view(np.uint64)))] & (np.diff(bounds) > 0))
+            kept = kept[np.unique(node[kept], return_index=True)[1]]
+            yield record_batch(node=pa.array(node[kept]), held=pa.array([hashes[bounds[k]:bounds[k + 1]].tobytes() for k in kept], pa.binary()))
+    found = map_batches(documents.select("text"), "node long, held binary", each)
+    return found.join(nodes, "node").groupBy("node").agg(F.max("held").alias("held"))
+
+
+def verified(pairs: DataFrame, parities: DataFrame, sets: DataFrame, percent: int, rounds: Rounds) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar enough."""
+    def both(frame, table, column):
+        for side in ("a", "b"):
+            frame = frame.join(table.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in column)), side)
+        return frame.select("a", "b", *(f"{c}_{side}" for c in column for side in ("a", "b")))
+
+    def near(batch):
+        rows = zip(*(batch.column(c).to_pylist() for c in range(2, 6)), strict=True)
+        kept = [k for k, (n, m, x, y) in enumerate(rows) if (n + m - _differing(x, y)) * (100 + percent) >= 2 * percent * (n + m)]
+        yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
+    likely = rounds.stage(map_batches(both(pairs.select("a", "b"), parities, ("n", "parity")), "a long, b long", near), "jaccard-likely")
+    nodes = rounds.stage(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct(), "jaccard-asked")
+    asked = rounds.stage(sets.join(nodes, "node").select("node", "held"), "jaccard-asked-sets")
 
     def each(batch):
-        lists = [], []
-        for side in (0, 1):
-            for _, hashes, bounds, _ in _sets(batch.column(2 + side), width):
-                lists[side].extend(np.split(hashes, bounds[1:-1]))
         kept = []
-        for k, (x, y) in enumerate(zip(*lists, strict=True)):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if both and 100 * both >= percent * (len(x) + len(y) - both):
+        for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            if shared and 100 * shared >= percent * (len(x) + len(y) - shared):
                 kept.append(k)
         yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
-    joined = (pairs.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-              .join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
-    return stage(map_batches(joined.select("a", "b", "text_a", "text_b"), "a long, b long", each), "jaccard-links")
+    found = rounds.stage(map_batches(both(likely, asked, ("held",)), "a long, b long", each), "jaccard-links")
+    rounds.drop(likely, nodes, asked)
+    return found
+
+
+def _labelled(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return shared.select("list", "node", "n", F.col("node").alias("component"))
+    return shared.join(labels, "node", "left").select("list", "node", "n", F.coalesce("component", "node").alias("component"))
 
 
 def _mixed(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Entries (list, node, n, component) of the lists that still hold different components."""
-    if labels is None:
-        return shared.withColumn("component", F.col("node"))
-    rows = (shared.join(labels, "node", "left")
-            .select("list", "node", "n", F.coalesce("component", "node").alias("component")))
+    rows = _labelled(shared, labels)
     mixed = (rows.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low <> high").select("list"))
-    return stage(rows.join(mixed, "list"), "jaccard-mixed")
+    return rows.join(mixed, "list")
 
 
-def _leader_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each node with one node of another component: the first, by this turn's order, of the lists it shares most."""
+def _turn(shared: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> DataFrame:
+    """Entries of the lists that still hold different components, each with the list's first node by this turn's order
+    where that may be a partner."""
+    rows = _labelled(shared, labels)
     first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "component")).alias("leader")
-    leaders = stage(rows.groupBy("list").agg(first), "jaccard-leaders")
-    return (rows.join(leaders, "list").filter(
-        (F.col("component") != F.col("leader.component")) & _compatible(F.col("n"), F.col("leader.n"), percent))
-        .groupBy("node", F.col("leader.node").alias("b")).agg(F.count(F.lit(1)).alias("times"))
-        .groupBy("node").agg(F.max_by("b", F.struct("times", "b")).alias("b")).select(F.col("node").alias("a"), "b"))
+    leaders = (rows.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"), first)
+               .filter("low <> high").select("list", "leader"))
+    other = (F.col("component") != F.col("leader.component")) & _compatible(F.col("n"), F.col("leader.n"), percent)
+    return rows.join(leaders, "list").select("list", "node", "n", F.when(other, F.col("leader.node")).alias("partner"))
+
+
+def _leader_pairs(rows: DataFrame) -> DataFrame:
+    """Each node with the partner that it shares most lists with."""
+    return (rows.filter("partner IS NOT NULL").groupBy("node", "partner").agg(F.count(F.lit(1)).alias("times"))
+            .groupBy("node").agg(F.max_by("partner", F.struct("times", "partner")).alias("b")).select(F.col("node").alias("a"), "b"))
 
 
 def _merge(batch: pa.RecordBatch):
@@ -176,11 +246,26 @@ def _probe(batch: pa.RecordBatch):
     yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
 
 
-def _rest(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs between the components so far."""
+def _may_link(n: Column, m: Column, mine, other, percent: int) -> Column:
+    """Whether two sets whose parities (folded) these are can be similar enough."""
+    differ = reduce(add, (F.bit_count(x.bitwiseXOR(y)) for x, y in zip(mine, other, strict=True)))
+    return (n + m - differ) * (100 + percent) >= (n + m) * (2 * percent)
+
+
+def _rest(rows: DataFrame, lists: DataFrame, percent: int, parities: DataFrame | None = None, rounds: Rounds | None = None) -> DataFrame:
+    """Candidate pairs between the components so far, which read tables that ``rounds`` has stored.
+
+    Members of a list whose folded ``parities`` rule a link out are not merged, so what the merge reads in a large group of
+    texts that are alike, but not enough, is near what it keeps.
+    """
+    stage = (rounds or Rounds(rows.sparkSession)).stage
+    words = [f"word_{k}" for k in range(_WORDS)]
+    if parities is None:
+        rows = rows.select("*", *(F.lit(0).cast("long").alias(w) for w in words))
+    else:
+        rows = rows.join(parities.select("node", *(F.col("short")[k].alias(w) for k, w in enumerate(words))), "node")
     rows = stage(rows.join(lists, "list").withColumn("long", F.col("size") > LONG_LIST), "jaccard-entries")
-    # A partner may be smaller, and then so is its k: the smallest k that a pair with this node can have.
-    least_k = F.floor(F.floor(F.col("n") * percent / 100) / 50) + 1
+    least_k = _least_k(percent)
     heavy = (rows.filter("long").groupBy("node").agg(F.max(least_k).alias("least"), F.array_sort(F.collect_set("list")).alias("longs"))
              .withColumn("heavy", F.size("longs") >= F.col("least")))
     heavy = stage(heavy.select("node", "longs", "heavy"), "jaccard-long")
@@ -188,13 +273,14 @@ def _rest(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
               .withColumn("heavy", F.coalesce("heavy", F.lit(False))).filter("NOT long OR heavy"))
     # ``unseen``: how many lists of the node are not merged.
     unseen = F.when(F.col("heavy"), 0).otherwise(F.coalesce("n_longs", F.lit(0))).alias("unseen")
-    merged = stage(merged.select("list", "node", "n", "component", "size", "heavy", unseen), "jaccard-merged")
+    merged = stage(merged.select("list", "node", "n", "component", "size", "heavy", unseen, *words), "jaccard-merged")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("size") / LONG_LIST))
     members = (merged.groupBy("list", F.pmod(F.xxhash64("node"), chunks).alias("chunk"))
-               .agg(F.array_sort(F.collect_list(F.struct("node", "n", "component", "unseen"))).alias("members")))
+               .agg(F.array_sort(F.collect_list(F.struct("node", "n", "component", "unseen", *words))).alias("members")))
     members = stage(members.select("list", "members"), "jaccard-chunks")
     asked = merged.join(members, "list").withColumn("members", F.filter("members", lambda m: (
-        (m["node"] < F.col("node")) & (m["component"] != F.col("component")) & _compatible(m["n"], F.col("n"), percent))))
+        (m["node"] < F.col("node")) & (m["component"] != F.col("component")) & _compatible(m["n"], F.col("n"), percent)
+        & _may_link(m["n"], F.col("n"), [m[w] for w in words], [F.col(w) for w in words], percent))))
     # Lists that a pair shares and that are not merged are at most those of the light node; partners with such lists are
     # merged apart, so that a heavy node asks for fewer merged lists of these only. One is needed of every pair.
     apart = F.explode(F.array(F.struct(F.lit(False).alias("some"), F.filter("members", lambda m: m["unseen"] == 0).alias("members")),
@@ -218,19 +304,53 @@ def _rest(rows: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
 
 def join(documents: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
     """(rows with doc_id, n and node; node and component of nodes with links). A link: percent or more similar."""
-    sets = signed_sets(documents, width, percent)
-    nodes = stage(sets.filter("n > 0").groupBy("node").agg(F.any_value(F.struct("n", "prefix")).alias("held"))
-                  .select("node", "held.n", "held.prefix"), "jaccard-nodes")
+    rounds = Rounds(documents.sparkSession)
+    signed = rounds.stage(signed_sets(documents, width, percent), "jaccard-sets")
+    placed = rounds.stage(signed.select("doc_id", "n", "node"), "jaccard-rows")
+    nodes = rounds.stage(signed.filter("n > 0").groupBy("node").agg(F.any_value(F.struct("n", "prefix", "parity", "short")).alias("held"))
+                         .select("node", "held.n", "held.prefix", "held.parity", "held.short"), "jaccard-nodes")
+    rounds.drop(signed)
     entries = nodes.select("node", "n", F.explode("prefix").alias("list"))
-    repeated = stage(entries.groupBy("list").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "jaccard-repeated")
-    shared = stage(entries.join(repeated, "list").select("list", "node", "n").distinct(), "jaccard-shared")
+    repeated = rounds.stage(entries.groupBy("list").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "jaccard-repeated")
+    every = rounds.stage(entries.join(repeated, "list").select("list", "node", "n"), "jaccard-every")
+    enough = every.groupBy("node", "n").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") >= _least_k(percent))
+    asked = rounds.stage(enough.select("node"), "jaccard-nodes-asked")
+    shared = rounds.stage(every.join(asked, "node").select("list", "node", "n"), "jaccard-shared")
+    parities = rounds.stage(nodes.join(asked, "node").select("node", "n", "parity", "short"), "jaccard-parities")
+    rounds.drop(nodes, every)
+    sets = rounds.stage(node_sets(documents, asked, width), "jaccard-node-sets")
+    rounds.drop(asked)
+
     links, labels = None, None
     for turn in range(LEADER_TURNS):
-        found = verified(_leader_pairs(_mixed(shared, labels), turn, percent), documents, width, percent)
-        links = found if links is None else stage(links.union(found), "jaccard-all")
-        labels = components(links, "a", "b")
-    more = verified(_rest(_mixed(shared, labels), repeated, percent), documents, width, percent)
-    return sets.select("doc_id", "n", "node"), components(stage(links.union(more), "jaccard-all"), "a", "b")
+        mixed = rounds.stage(_turn(shared, labels, turn, percent), "jaccard-turn")
+        rounds.drop(shared)
+        shared = mixed
+        pairs = rounds.stage(_leader_pairs(mixed), "jaccard-leaders")
+        found = verified(pairs, parities, sets, percent, rounds)
+        done = found.count() * STOP <= pairs.count()
+        links, labels = _linked(links, found, rounds)
+        rounds.drop(pairs)
+        if done:
+            break
+    mixed = rounds.stage(_mixed(shared, labels), "jaccard-mixed")
+    rounds.drop(shared)
+    searched = Rounds(documents.sparkSession)
+    pairs = rounds.stage(_rest(mixed, repeated, percent, parities, searched), "jaccard-pairs")
+    searched.drop_all()
+    more = verified(pairs, parities, sets, percent, rounds)
+    links, labels = _linked(links, more, rounds)
+    rounds.drop(mixed, pairs, repeated, parities, sets, links)
+    return placed, labels
+
+
+def _linked(links: DataFrame | None, found: DataFrame, rounds: Rounds) -> tuple[DataFrame, DataFrame]:
+    """All links so far and their components."""
+    after = found
+    if links is not None:
+        after = rounds.stage(links.union(found), "jaccard-all")
+        rounds.drop(links, found)
+    return after, components(after, "a", "b")
 
 
 def report(documents: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:

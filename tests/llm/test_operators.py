@@ -106,6 +106,44 @@ def test_ngram_join(spark):
     assert ngram_join.report(docs(spark, [])).count() == 0
 
 
+def test_parities_lose_nothing():
+    """Parities of different widths never show more differences than the sets have."""
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (0, 1, 255, 256, 257, 3000)]
+    sets += [np.sort(np.concatenate([sets[-1][k:], sets[3][:k]])) for k in (0, 1, 100, 256)]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    held = ngram_join._parities(np.concatenate(sets), bounds).to_pylist()
+    assert [len(h) for h in held[:6]] == [0, 32, 32, 32, 64, 512]
+    for x, a in zip(sets, held):
+        for y, b in zip(sets, held):
+            if len(a) and len(b):
+                differ = len(np.setxor1d(x, y))
+                assert ngram_join._differing(a, b) <= differ and ngram_join._differing(a, b) % 2 == differ % 2
+
+
+def test_ngram_join_of_a_large_group(spark):
+    """A chain-like group of near copies of one text, with a common line in all texts, against brute force."""
+    rng = random.Random(12)
+    base, line = prose(700, 70).split(), prose(701, 6)
+    texts = []
+    for _ in range(220):
+        words = list(base)
+        for k in rng.sample(range(len(words)), rng.randint(0, 3)):
+            words[k] = f"new{rng.randint(0, 30)}"
+        texts.append(" ".join(words) + " " + line)
+    texts += [prose(800 + k, 60) + " " + line for k in range(60)]
+    sets = [{tuple(w[k:k + 3]) for k in range(len(w) - 2)} for w in map(str.split, texts)]
+    want = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both) and want[a] != want[b]:
+                low, high = sorted((want[a], want[b]))
+                want = [low if c == high else c for c in want]
+    out = {r["doc_id"]: r["component_id"] for r in ngram_join.report(docs(spark, list(enumerate(texts)))).collect()}
+    assert [out[k] for k in range(len(texts))] == want and 1 < len(set(want[:220])) < 220
+
+
 def test_near_copies_are_rows(spark):
     """Repeated rows of one id, copies without id, and a clean row that has the id of a copy."""
     from corpus_pipeline import drop_near_copies
