@@ -430,15 +430,7 @@ def b27_chain(lake):
 
 
 @query("b28_staffing_plan", f"""
-SELECT employee_id, facility_id, slot, supervisors, role_level, is_driver,
-  CASE WHEN role_level = 1 THEN 'Facility Manager'
-       WHEN role_level = 2 THEN CASE WHEN employee_id % 2 = 0 THEN 'Operations Supervisor' ELSE 'Dispatch Supervisor' END
-       WHEN is_driver THEN CASE WHEN {roll('employee_id', 59, 2)} < 25 THEN 'Senior Driver' ELSE 'Driver' END
-       ELSE {bands(roll('employee_id', 71, 13),
-                   [(35, 'Parcel Handler'), (55, 'Freight Handler'), (70, 'Customer Service Representative'),
-                    (80, 'Billing Coordinator'), (90, 'IT Support Technician')], 'Administrative Assistant')}
-  END AS planned_title
-FROM {STAFFING_SQL} p""")
+SELECT employee_id, facility_id, slot, supervisors, role_level, is_driver FROM {STAFFING_SQL} p""")
 def b28(lake):
     return people.staffing_plan(lake)
 
@@ -457,7 +449,7 @@ def b29(lake):
     return picked.groupBy("nation_id", "band_class").agg(F.count(F.lit(1)).alias("picked"))
 
 
-@query("b30_vehicle_attributes", "SELECT * FROM vehicles", money="max_payload_kg")
+@query("b30_vehicle_attributes", "SELECT * FROM vehicles", money="max_payload_kg", dates="first_day")
 def b30(lake):
     return lake.vehicles
 
@@ -467,7 +459,7 @@ def b31(lake):
     return lake.assignments
 
 
-@query("b32_driver_licences", "SELECT * FROM drivers", dates="license_expiry")
+@query("b32_driver_licences", "SELECT * FROM drivers", money="heaviest", dates="last_day")
 def b32(lake):
     return lake.drivers
 

@@ -38,10 +38,10 @@ def j3(lake):
 @query("j4_left_with_fallback", """
 SELECT e.employee_id, coalesce(s.employee_id, e.manager_id) AS reports_to
 FROM employees e LEFT JOIN employees s
-  ON s.facility_id = e.facility_id AND s.job_title = 'Senior Driver' AND s.employee_id = e.employee_id - 10""")
+  ON s.facility_id = e.facility_id AND s.is_driver AND s.employee_id = e.employee_id - 10""")
 def j4(lake):
-    """A senior colleague of the same site where there is one, the manager otherwise."""
-    seniors = lake.employees.filter(_c("job_title") == "Senior Driver").select(
+    """A driver of the same site ten numbers before where there is one, the manager otherwise."""
+    seniors = lake.employees.filter("is_driver").select(
         "facility_id", (_c("employee_id") + 10).alias("employee_id"), _c("employee_id").alias("senior_id"))
     return lake.employees.join(seniors, ["facility_id", "employee_id"], "left").select(
         "employee_id", F.coalesce("senior_id", "manager_id").alias("reports_to"))
@@ -135,10 +135,10 @@ def j13(lake):
 
 
 @query("j14_lateral_columns", """
-SELECT vehicle_id, vehicle_type, capacity_class, max_payload_kg, make, model FROM vehicles""", money="max_payload_kg")
+SELECT vehicle_id, max_payload_kg, vehicle_type, capacity_class FROM vehicles""", money="max_payload_kg")
 def j14(lake):
-    """Each derived column builds on the one before it: type, class, payload, make."""
-    return lake.vehicles.select("vehicle_id", "vehicle_type", "capacity_class", "max_payload_kg", "make", "model")
+    """Each derived column builds on the one before it: payload, type, class."""
+    return lake.vehicles.select("vehicle_id", "max_payload_kg", "vehicle_type", "capacity_class")
 
 
 @query("j15_statement_text", """
@@ -179,9 +179,9 @@ def j18(lake):
 
 
 @query("j19_subtype", """
-SELECT d.employee_id, e.full_name, d.license_class FROM drivers d JOIN employees e ON e.employee_id = d.employee_id""")
+SELECT d.employee_id, e.full_name, d.line_count FROM drivers d JOIN employees e ON e.employee_id = d.employee_id""")
 def j19(lake):
-    return lake.drivers.select("employee_id", "license_class").join(
+    return lake.drivers.select("employee_id", "line_count").join(
         lake.employees.select("employee_id", "full_name"), "employee_id")
 
 

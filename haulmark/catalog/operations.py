@@ -44,16 +44,13 @@ def t2(lake):
 
 
 @query("t3_database_states", """
-SELECT s_name AS name, CASE WHEN s_suppkey % 50 = 9 THEN 'RECOVERY_PENDING' WHEN s_suppkey % 50 = 31 THEN 'RESTORING'
-  ELSE 'ONLINE' END AS state, CASE WHEN s_nationkey % 3 = 0 THEN 'SIMPLE' ELSE 'FULL' END AS recovery_model,
-  CASE WHEN s_acctbal < 0 THEN 'LOG_BACKUP' ELSE 'NOTHING' END AS log_reuse_wait FROM supplier""")
+SELECT s_name AS name, s_nationkey AS nation_id, CASE WHEN s_acctbal < 0 THEN 'overdrawn' WHEN s_acctbal < 1000 THEN 'low'
+  WHEN s_acctbal IS NULL THEN 'unknown' ELSE 'in credit' END AS state FROM supplier""")
 def t3(lake):
-    s = _c("s_suppkey")
-    return lake.table("supplier").select(
-        _c("s_name").alias("name"),
-        F.when(s % 50 == 9, "RECOVERY_PENDING").when(s % 50 == 31, "RESTORING").otherwise("ONLINE").alias("state"),
-        F.when(_c("s_nationkey") % 3 == 0, "SIMPLE").otherwise("FULL").alias("recovery_model"),
-        F.when(_c("s_acctbal") < 0, "LOG_BACKUP").otherwise("NOTHING").alias("log_reuse_wait"))
+    """State of each supplier's account, by its balance."""
+    state = (F.when(_c("s_acctbal") < 0, "overdrawn").when(_c("s_acctbal") < X.LOW_BALANCE, "low")
+             .when(_c("s_acctbal").isNull(), "unknown").otherwise("in credit"))
+    return lake.table("supplier").select(_c("s_name").alias("name"), _c("s_nationkey").alias("nation_id"), state.alias("state"))
 
 
 @query("t4_top_waits", f"""
@@ -168,28 +165,30 @@ def t9_text(lake):
     return telemetry.log_search(telemetry.server_log(lake), "login failed").select("logged_at", "message")
 
 
-@query("t10_page_life", """
-SELECT sample_day, 'Server:Buffer Manager' AS object_name, 'Page life expectancy' AS counter_name,
-  event_type AS instance_name, total * 10 // n AS ple_seconds, total * 10 // n < 300 AS is_low
-FROM (SELECT CAST(ts AS DATE) AS sample_day, event_type, CAST(sum(k) AS BIGINT) AS total, count(*) AS n
-      FROM scans GROUP BY 1, 2) c WHERE event_type NOT IN ('error', 'click')""", dates="sample_day")
+_SHARES_SQL = """
+SELECT {0}, n_events, n_errors, n_errors * 100 // n_events AS error_pct,
+  n_errors * sum(n_events) OVER () > n_events * sum(n_errors) OVER () AS over_average
+FROM (SELECT {1} AS {0}, count(*) AS n_events, count(*) FILTER (WHERE event_type = 'error') AS n_errors
+      FROM events GROUP BY 1) c"""
+
+
+@query("t10_page_life", _SHARES_SQL.format("sample_day", "CAST(ts AS DATE)"), dates="sample_day")
 def t10(lake):
-    return telemetry.page_life(telemetry.counters(lake))
+    """Health of each day: its share of errors."""
+    return telemetry.error_shares(lake, F.to_date("ts"), "sample_day")
 
 
-@query("t11_scheduler_pressure", """
-SELECT user_id % 300 AS scheduler_id, count(*) AS current_tasks, count(*) FILTER (WHERE k % 5 = 0) AS runnable_tasks,
-  count(*) FILTER (WHERE event_type = 'error') AS pending_io FROM scans GROUP BY 1 HAVING user_id % 300 < 255""")
+@query("t11_scheduler_pressure", _SHARES_SQL.format("user_id", "user_id"))
 def t11(lake):
-    return telemetry.schedulers(lake).filter(_c("scheduler_id") < X.HIDDEN_SCHEDULER_ID)
+    """Pressure by user: the share of errors."""
+    return telemetry.error_shares(lake, _c("user_id"), "user_id")
 
 
 @query("t12_deadlock_graphs", """
-SELECT event_id, date_trunc('second', ts) AS deadlock_time, '<event name="xml_deadlock_report" timestamp="' ||
-  strftime(ts, '%Y-%m-%dT%H:%M:%S') || '"><victim id="' || CAST(user_id AS VARCHAR) || '"/></event>' AS deadlock_graph
-FROM events""")
+SELECT user_id, date_trunc('hour', ts) AS hour, count(*) AS n_errors, min(event_id) AS first_event, max(event_id) AS last_event,
+  max(value) AS largest FROM events WHERE event_type = 'error' GROUP BY 1, 2""")
 def t12(lake):
-    return telemetry.deadlocks(lake.table("events"), telemetry.deadlock_xml(), "event_id")
+    return telemetry.error_bursts(lake)
 
 
 @query("t13_long_running", f"""
@@ -205,23 +204,21 @@ def t13(lake):
 
 
 @query("t14_fragmentation_advice", """
-SELECT segment_id, page_count, fragmentation_pct,
-  CASE WHEN page_count < 1000 THEN 'none' WHEN fragmentation_pct > 30 THEN 'rebuild'
-       WHEN fragmentation_pct >= 5 THEN 'reorganise' ELSE 'none' END AS advice
-FROM (SELECT l_suppkey AS segment_id, count(*) AS page_count,
-        count(*) FILTER (WHERE l_returnflag = 'R' AND l_linenumber > 3) * 100 // count(*) AS fragmentation_pct
+SELECT *, CASE WHEN return_pct >= 34 THEN 'act' WHEN return_pct >= 20 THEN 'watch' ELSE 'none' END AS advice
+FROM (SELECT l_suppkey AS supplier_id, count(*) AS line_count, count(*) FILTER (WHERE l_returnflag = 'R') * 100 // count(*) AS return_pct
       FROM lineitem GROUP BY 1) s
-WHERE page_count > 100 ORDER BY fragmentation_pct DESC, segment_id""")
+ORDER BY return_pct DESC, supplier_id""")
 def t14(lake):
-    return telemetry.fragmentation_advice(telemetry.segments(lake)).orderBy(
-        _c("fragmentation_pct").desc(), "segment_id")
+    """Advice on suppliers by the share of lines that came back."""
+    return telemetry.returns_advice(telemetry.returns(lake)).orderBy(_c("return_pct").desc(), "supplier_id")
 
 
 @query("t15_file_sizes", """
-SELECT l_partkey AS file_id, CAST(count(*) AS DECIMAL(18,0)) / 128 AS size_mb, max(l_linenumber) AS growth
-FROM lineitem GROUP BY 1""", money="size_mb")
+SELECT l_partkey AS part_id, count(*) AS line_count, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS quantity,
+  max(l_linenumber) AS last_line FROM lineitem GROUP BY 1""", money="quantity")
 def t15(lake):
-    return telemetry.files(lake).select("file_id", telemetry.pages_to_mb("pages").alias("size_mb"), "growth")
+    """Lines and quantity of each part."""
+    return telemetry.part_lines(lake)
 
 
 @query("t16_role_audit", """

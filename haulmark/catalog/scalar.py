@@ -170,12 +170,16 @@ def f19(lake):
 
 
 @query("f20_xml_values", """
-SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS stamp, CAST(user_id AS VARCHAR) AS victim FROM events""")
+SELECT page_id, len(links) AS n_links, coalesce(links[1], '') AS first_link, coalesce(links[-1], '') AS last_link
+FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>.*?</nav>'), 'href="([^"]*)"', 1) AS links FROM pages) p""")
 def f20(lake):
-    xml = telemetry.deadlock_xml()
-    return lake.table("events").select(
-        "event_id", F.xpath_string(xml, F.lit("//event[@name='xml_deadlock_report']/@timestamp")).alias("stamp"),
-        F.xpath_string(xml, F.lit("//event[@name='xml_deadlock_report']/victim/@id")).alias("victim"))
+    """Values from the navigation of a page, which is well-formed markup: number, first and last of its links."""
+    nav = F.nullif(F.regexp_extract("html", "(?s)<nav>.*?</nav>", 0), F.lit(""))
+    links = F.xpath(nav, F.lit("//a/@href"))
+    return lake.table("pages").select(
+        "page_id", F.coalesce(F.size(links), F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce(F.get(links, F.lit(0)), F.lit("")).alias("first_link"),
+        F.coalesce(F.element_at(links, -1), F.lit("")).alias("last_link"))
 
 
 @query("f21_wrapping_successor", """

@@ -76,8 +76,7 @@ BENIGN_WAITS = [
 
 # --- thresholds ----------------------------------------------------------------------------------------
 LONG_RUNNING_MS = 30000
-LOW_PAGE_LIFE_SECONDS = 300
-HIDDEN_SCHEDULER_ID = 255
-FRAGMENTATION_REORGANISE, FRAGMENTATION_REBUILD = 5, 30
-MIN_REPORTED_PAGES, MIN_ADVISED_PAGES = 100, 1000
+RETURNS_WATCH, RETURNS_ACT = 20, 34  # percent of a supplier's lines
+LOW_BALANCE = 1000
+MEDIUM_LINE, HEAVY_LINE = 49, 50  # heaviest line of a vehicle
 ALERT_SEVERITY, ALERT_DELAY_SECONDS = 19, 300

@@ -208,8 +208,7 @@ class Lake:
             F.explode(F.sequence(F.lit(1), F.when(S.bucket(_c("account_id"), 23, 5) < 50, 2).otherwise(3)))
              .alias("contact_num"))
         cid = _c("contact_id")
-        title = (F.when(cid % 4 == 0, "Logistics Manager").when(cid % 4 == 1, "Accounts Payable")
-                 .when(cid % 4 == 2, "Warehouse Supervisor").otherwise("Purchasing Agent"))
+        title = F.when(_c("contact_num") == 1, "Primary contact").otherwise("Deputy contact")
         return a.withColumn("contact_id", _c("account_id") * 10 + _c("contact_num")).select(
             "contact_id", "account_id", "contact_num",
             F.concat(F.lit("Contact "), _c("contact_num").cast("string")).alias("first_name"),
@@ -482,13 +481,10 @@ class Lake:
         facility = (F.when(s % 10 <= 2, _c("region_id").cast("long"))
                     .when(s % 10 <= 7, F.lit(1000).cast("long") + _c("nation_id")).otherwise(F.lit(10000) + s))
         hire = F.date_add(F.lit("1990-01-01").cast("date"), (s * 37 % 1800).cast("int"))
-        roll = S.bucket(s, 71, 13)
-        title = (F.when(s % 3 == 0, F.when(S.bucket(s, 59, 2) < 25, "Senior Driver").otherwise("Driver"))
-                 .when(roll < 35, "Parcel Handler").when(roll < 55, "Freight Handler")
-                 .when(roll < 70, "Customer Service Representative").when(roll < 80, "Billing Coordinator")
-                 .when(roll < 90, "IT Support Technician").otherwise("Administrative Assistant"))
+        title = F.when(s % 3 == 0, "Driver").otherwise(F.concat("facility_type", F.lit(" staff")))
         leave = F.date_add("hire_date", (s * 11 % 450 + 120).cast("int"))
-        return base.withColumn("hire_date", hire).select(
+        kind = F.when(s % 10 <= 2, "Hub").when(s % 10 <= 7, "Depot").otherwise("RetailCounter")
+        return base.withColumn("hire_date", hire).withColumn("facility_type", kind).select(
             s.alias("employee_id"), F.concat(F.lit("EMP-"), S.zero_pad_least(s, 5)).alias("employee_number"),
             _c("s_name").alias("full_name"),
             F.concat(F.lower(F.replace("s_name", F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
@@ -496,62 +492,44 @@ class Lake:
             F.when(s > 0, F.expr("s_suppkey div 10")).alias("manager_id"),
             title.alias("job_title"), "hire_date",
             F.when((S.bucket(s, 17, 3) < 6) & (leave <= F.lit(X.AS_OF)), leave).alias("termination_date"),
-            (s % 3 == 0).alias("is_driver"), "nation_id", "region_id",
-            F.when(s % 10 <= 2, "Hub").when(s % 10 <= 7, "Depot").otherwise("RetailCounter").alias("facility_type"))
+            (s % 3 == 0).alias("is_driver"), "nation_id", "region_id", "facility_type")
+
+    @cached_property
+    def carried(self) -> DataFrame:
+        """What each supplier has carried, by way: out (slot 1) or back (2). A hot supplier is summed before the shuffle."""
+        back = F.when(_c("l_returnflag") == "R", 2).otherwise(1)
+        return self.table("lineitem").groupBy(_c("l_suppkey").alias("employee_id"), back.alias("slot")).agg(
+            F.count(F.lit(1)).alias("line_count"), F.max("l_quantity").cast("decimal(10,2)").alias("heaviest"),
+            F.min("l_shipdate").cast("date").alias("first_day"), F.max("l_shipdate").cast("date").alias("last_day"),
+            F.count_if(_c("l_linestatus") == "O").alias("open_lines"))
 
     @cached_property
     def drivers(self) -> DataFrame:
-        e = _c("employee_id")
-        roll = S.bucket(e, 67, 9)
-        licence = (F.when(_c("facility_type") == "Hub", F.when(roll < 70, "CDL-A").otherwise("CDL-B"))
-                   .when(_c("facility_type") == "Depot", F.when(roll < 50, "CDL-A").otherwise("CDL-B"))
-                   .otherwise("Class-G"))
-        return self.employees.filter("is_driver").select(
-            "employee_id", licence.alias("license_class"),
-            F.concat(F.lit("DL"), S.zero_pad_least(e * 7919, 8)).alias("license_number"),
-            F.date_add(F.lit(X.AS_OF), (e * 19 % 1400 + 200).cast("int")).alias("license_expiry"),
+        """Drivers with what their lines show: how many, the heaviest, the last day. Without lines: none, null, null."""
+        shown = self.carried.groupBy("employee_id").agg(
+            F.sum("line_count").alias("line_count"), F.max("heaviest").alias("heaviest"), F.max("last_day").alias("last_day"))
+        return self.employees.filter("is_driver").join(shown, "employee_id", "left").select(
+            "employee_id", F.coalesce("line_count", F.lit(0)).alias("line_count"), "heaviest", "last_day",
             "facility_id", "facility_type")
 
     @cached_property
     def vehicles(self) -> DataFrame:
-        """Two vehicles per site; attributes follow one another: type, class, payload, make, model."""
-        v, roll = _c("vehicle_id"), _c("roll")
-        plan = self.employees.select("facility_id", "facility_type", "employee_id", "nation_id",
-                                     F.explode(F.array(F.lit(1), F.lit(2))).alias("slot"))
-        kind = (F.when(_c("facility_type") == "Hub", F.when(roll < 45, "Semi").when(roll < 80, "Box Truck")
-                       .when(roll < 92, "Refrigerated").otherwise("Flatbed"))
-                .when(_c("facility_type") == "Depot", F.when(roll < 55, "Box Truck").when(roll < 90, "Cargo Van")
-                      .otherwise("Refrigerated"))
-                .otherwise("Cargo Van"))
-        t = _c("vehicle_type")
-        payload = (F.when(t == "Semi", v * 97 % 10000 + 15000).when(t == "Flatbed", v * 97 % 8000 + 12000)
-                   .when(t == "Box Truck", v * 97 % 4000 + 2000).when(t == "Refrigerated", v * 97 % 3500 + 2500)
-                   .otherwise(v * 97 % 1000 + 500))
-        make = (F.when(t == "Semi", F.when(v % 3 == 0, "Freightliner").when(v % 3 == 1, "Peterbilt")
-                       .otherwise("Kenworth"))
-                .when(t == "Flatbed", F.when(v % 2 == 0, "Peterbilt").otherwise("Volvo"))
-                .when(t == "Box Truck", F.when(v % 3 == 0, "International").when(v % 3 == 1, "Isuzu")
-                      .otherwise("Freightliner"))
-                .when(t == "Refrigerated", F.when(v % 2 == 0, "Isuzu").otherwise("International"))
-                .otherwise(F.when(v % 2 == 0, "Ford").otherwise("Mercedes-Benz")))
-        model = (F.when(t == "Semi", "Cascadia").when(t == "Flatbed", "Flatbed 48ft").when(t == "Box Truck", "MT45")
-                 .when(t == "Refrigerated", "NRR Reefer")
-                 .otherwise(F.when(v % 2 == 0, "Transit").otherwise("Sprinter")))
-        life = S.bucket(v, 23, 11)
-        return (plan.withColumn("vehicle_id", _c("employee_id") * 2 + _c("slot") - 1)
-                .withColumn("roll", S.bucket(v, 83, 29))
-                .withColumn("vehicle_type", kind)
+        """One vehicle per site and way with lines: payload is the heaviest line, and type and class follow from it; open
+        lines keep it in use."""
+        payload = _c("max_payload_kg")
+        return (self.carried.filter("heaviest > 0")
+                .join(self.employees.select("employee_id", "facility_id", "nation_id"), "employee_id")
+                .withColumnRenamed("heaviest", "max_payload_kg")
                 .select(
-                    "vehicle_id",
-                    F.concat(F.lit("V"), _c("employee_id").cast("string"), F.lit("-"), S.zero_pad(_c("slot"), 2),
-                             S.zero_pad(v * 7 % 100, 2)).alias("license_plate"),
-                    S.zero_pad(_c("nation_id"), 2).alias("plate_state"), "vehicle_type",
-                    F.when(t.isin("Semi", "Flatbed"), "Heavy").when(t.isin("Box Truck", "Refrigerated"), "Medium")
-                     .otherwise("Light").alias("capacity_class"),
-                    payload.cast("decimal(10,2)").alias("max_payload_kg"), "facility_id",
-                    F.when(life < 80, "Available").when(life < 93, "In Use").when(life < 98, "Maintenance")
-                     .otherwise("Retired").alias("vehicle_status"),
-                    (v % 11 + 2015).cast("int").alias("model_year"), make.alias("make"), model.alias("model")))
+                    (_c("employee_id") * 2 + _c("slot") - 1).alias("vehicle_id"),
+                    F.concat(F.lit("V"), _c("employee_id").cast("string"), F.lit("-"), S.zero_pad(_c("slot"), 2)).alias("license_plate"),
+                    S.zero_pad(_c("nation_id"), 2).alias("plate_state"),
+                    F.when(payload >= X.HEAVY_LINE, "Semi").when(payload >= X.MEDIUM_LINE, "Box Truck")
+                     .otherwise("Cargo Van").alias("vehicle_type"), "max_payload_kg", "facility_id",
+                    F.when(_c("open_lines") > 0, "In Use").otherwise("Available").alias("vehicle_status"),
+                    "line_count", "first_day")
+                .withColumn("capacity_class", F.when(_c("vehicle_type") == "Semi", "Heavy")
+                            .when(_c("vehicle_type") == "Box Truck", "Medium").otherwise("Light")))
 
     @cached_property
     def assignments(self) -> DataFrame:

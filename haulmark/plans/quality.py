@@ -129,8 +129,7 @@ RULES: dict[str, Rules] = {
         lengths={"employee_number": 20, "full_name": 200, "email": 200, "job_title": 100}),
     "drivers": Rules(
         [["employee_id"]], refs=[("employee_id", "employees", "employee_id")],
-        required=["license_class", "license_number", "license_expiry"],
-        lengths={"license_class": 10, "license_number": 50}),
+        required=["line_count", "facility_id"]),
     "vehicles": Rules(
         [["vehicle_id"], ["license_plate", "plate_state"]], refs=[("facility_id", "facilities", "facility_id")],
         domains={"vehicle_type": one_of("vehicle_type", X.VEHICLE_TYPES),
@@ -138,7 +137,7 @@ RULES: dict[str, Rules] = {
                  "vehicle_status": one_of("vehicle_status", X.VEHICLE_STATUSES)},
         orders={"payload": "max_payload_kg > 0"},
         required=["license_plate", "vehicle_type", "max_payload_kg", "facility_id"],
-        lengths={"license_plate": 20, "make": 50, "model": 50}, exact={"plate_state": 2}),
+        lengths={"license_plate": 20}, exact={"plate_state": 2}),
     "assignments": Rules(
         [["assignment_id"]],
         refs=[("driver_id", "drivers", "employee_id"), ("vehicle_id", "vehicles", "vehicle_id"),

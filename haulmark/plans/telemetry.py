@@ -176,7 +176,7 @@ def job_outcomes(lake) -> DataFrame:
             .withColumn("run_status", status))
 
 
-# ------------------------------------------------------------------------------ logs, counters, schedulers
+# ------------------------------------------------------------------------------ logs, error shares
 def server_log(lake) -> DataFrame:
     text = F.when(_c("event_type") == "error",
                   F.concat(F.lit("Login failed for user_"), _c("user_id").cast("string"))) \
@@ -190,44 +190,28 @@ def log_search(log: DataFrame, text: str | None = None) -> DataFrame:
     return log if text is None else log.filter(F.lower("message").contains(text.lower()))
 
 
-def counters(lake) -> DataFrame:
-    """Counter samples per day: one buffer node per event type."""
-    day = F.to_date("ts")
-    sampled = scans(lake).groupBy(day.alias("sample_day"), "event_type").agg(
-        F.sum(_c("k").cast("long")).alias("total"), F.count(F.lit(1)).alias("n"))
-    return sampled.select(
-        "sample_day",
-        F.when(_c("event_type") == "error", "Server:Memory Manager").otherwise("Server:Buffer Manager")
-         .alias("object_name"),
-        F.when(_c("event_type") == "click", "Page reads/sec").otherwise("Page life expectancy").alias("counter_name"),
-        _c("event_type").alias("instance_name"), F.expr("total * 10 div n").alias("counter_value"))
+def error_shares(lake, key: Column, name: str) -> DataFrame:
+    """Events and errors per key; a key stands out where its share of errors is over that of the whole log."""
+    counted = lake.table("events").groupBy(key.alias(name)).agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_if(_c("event_type") == "error").alias("n_errors"))
+    whole = counted.agg(F.sum("n_events").alias("all_events"), F.sum("n_errors").alias("all_errors"))
+    return counted.select(name, "n_events", "n_errors", F.expr("n_errors * 100 div n_events").alias("error_pct"),
+                          (_c("n_errors") * whole.select("all_events").scalar()
+                           > _c("n_events") * whole.select("all_errors").scalar()).alias("over_average"))
 
 
-def page_life(rows: DataFrame) -> DataFrame:
-    return rows.filter((_c("counter_name") == "Page life expectancy")
-                       & _c("object_name").ilike("%Buffer Manager%")).select(
-        "sample_day", "object_name", "counter_name", "instance_name", _c("counter_value").alias("ple_seconds"),
-        (_c("counter_value") < X.LOW_PAGE_LIFE_SECONDS).alias("is_low"))
-
-
-def schedulers(lake) -> DataFrame:
-    return scans(lake).groupBy((_c("user_id") % 300).alias("scheduler_id")).agg(
-        F.count(F.lit(1)).alias("current_tasks"), F.count_if(_c("k") % 5 == 0).alias("runnable_tasks"),
-        F.count_if(_c("event_type") == "error").alias("pending_io"))
+def error_bursts(lake) -> DataFrame:
+    """Hours in which a user met errors: how many, the first and the last, and the largest value."""
+    return (lake.table("events").filter(_c("event_type") == "error")
+            .groupBy("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
+            .agg(F.count(F.lit(1)).alias("n_errors"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"),
+                 F.max("value").alias("largest")))
 
 
 # ------------------------------------------------------------------------------ deadlock graphs in XML
 DEADLOCK_EVENT = "xml_deadlock_report"
 
 
-def deadlock_xml() -> Column:
-    """Ring buffer of one sample: an unrelated entry, then a deadlock report."""
-    return F.concat(
-        F.lit('<RingBufferTarget><event name="error_reported" timestamp="1900-01-01T00:00:00"/>'),
-        F.lit('<event name="xml_deadlock_report" timestamp="'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
-        F.lit('"><victim id="'), _c("user_id").cast("string"), F.lit('"/></event></RingBufferTarget>'))
-
-
 def deadlocks(ring_buffers: DataFrame, xml: Column, key: str) -> DataFrame:
     """One row per deadlock report: the event nodes are cut out and exploded, then parsed once each.
 
@@ -244,25 +228,24 @@ def deadlocks(ring_buffers: DataFrame, xml: Column, key: str) -> DataFrame:
                     _c("node").alias("deadlock_graph")))
 
 
-# ------------------------------------------------------------------------------ storage
-def segments(lake) -> DataFrame:
-    """Storage segments per supplier: pages and the share of rows that came back out of place."""
-    return lake.table("lineitem").groupBy(_c("l_suppkey").alias("segment_id")).agg(
-        F.count(F.lit(1)).alias("page_count"),
-        F.count_if((_c("l_returnflag") == "R") & (_c("l_linenumber") > 3)).alias("moved")).select(
-        "segment_id", "page_count", F.expr("moved * 100 div page_count").alias("fragmentation_pct"))
+# ------------------------------------------------------------------------------ returns
+def returns(lake) -> DataFrame:
+    """Lines of each supplier, and the share that came back."""
+    return lake.table("lineitem").groupBy(_c("l_suppkey").alias("supplier_id")).agg(
+        F.count(F.lit(1)).alias("line_count"), F.count_if(_c("l_returnflag") == "R").alias("returned")).select(
+        "supplier_id", "line_count", F.expr("returned * 100 div line_count").alias("return_pct"))
 
 
-def fragmentation_advice(rows: DataFrame) -> DataFrame:
-    pct, pages = _c("fragmentation_pct"), _c("page_count")
-    advice = (F.when(pages < X.MIN_ADVISED_PAGES, "none").when(pct > X.FRAGMENTATION_REBUILD, "rebuild")
-              .when(pct >= X.FRAGMENTATION_REORGANISE, "reorganise").otherwise("none"))
-    return rows.filter(pages > X.MIN_REPORTED_PAGES).withColumn("advice", advice)
+def returns_advice(rows: DataFrame) -> DataFrame:
+    pct = _c("return_pct")
+    return rows.withColumn("advice", F.when(pct >= X.RETURNS_ACT, "act").when(pct >= X.RETURNS_WATCH, "watch").otherwise("none"))
 
 
-def files(lake) -> DataFrame:
-    return lake.table("lineitem").groupBy(_c("l_partkey").alias("file_id")).agg(
-        F.count(F.lit(1)).alias("pages"), F.max("l_linenumber").alias("growth"))
+def part_lines(lake) -> DataFrame:
+    """Lines and quantity of each part."""
+    return lake.table("lineitem").groupBy(_c("l_partkey").alias("part_id")).agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum(_c("l_quantity").cast("decimal(18,2)")).alias("quantity"),
+        F.max("l_linenumber").alias("last_line"))
 
 
 # ------------------------------------------------------------------------------ principals

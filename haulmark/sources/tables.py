@@ -25,6 +25,7 @@ INPUT_SCHEMAS: dict[str, T.StructType] = {
                         l_quantity=_DBL, l_extendedprice=_DBL, l_discount=_DBL, l_tax=_DBL,
                         l_returnflag=_STR, l_linestatus=_STR, l_shipdate=_TS),
     "events": _schema(event_id=_LONG, ts=_TS, user_id=_LONG, event_type=_STR, value=_DBL, props=_STR),
+    "pages": _schema(page_id=_LONG, url=_STR, html=_STR),
 }
 
 

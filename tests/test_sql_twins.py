@@ -21,7 +21,7 @@ def test_every_query_has_sql():
 
 
 # A feature that the smallest input has no case of: nothing to find there.
-MAY_BE_EMPTY = {"t1_active_requests", "b16_facility_timeline", "t6_deadlocks", "p11_existence", "t14_fragmentation_advice", "b36_row_visibility"}
+MAY_BE_EMPTY = {"t1_active_requests", "b16_facility_timeline", "t6_deadlocks", "p11_existence", "b36_row_visibility"}
 
 
 @pytest.mark.parametrize("name", sorted(PLANS))
