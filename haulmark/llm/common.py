@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulmark.session import new_path, ship_package
 from haulmark.sources.writes import discard, stage
 
-__all__ = ["Rounds", "components", "map_batches", "read", "record_batch", "stage"]
+__all__ = ["Rounds", "components", "cut", "map_batches", "once", "packed", "read", "record_batch", "running", "stage", "unpacked", "widened"]
+
+#: Lengths of the parts that arrays and texts are worked on in, so that no step copies or scans a whole one.
+_BLOCK, _CHARS = 64, 1024
 
 
 class Rounds:
@@ -42,7 +46,61 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
-def map_batches(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and, in ``others``, all further columns, so that no name of theirs meets an operator's own."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", *([F.struct(*rest).alias("others")] if rest else []))
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that were packed, in their order."""
+    return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col("others").getField(c).alias(c) for c in columns))
+
+
+def widened(df: DataFrame, added: str) -> T.StructType:
+    """The schema of ``df`` with further columns."""
+    return T.StructType(df.schema.fields + T.StructType.fromDDL(added).fields)
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is read."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(steps: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The states of a fold behind each element, block by block: no array grows beyond a block or the number of blocks."""
+    def states(block, first):
+        def grow(acc, x):
+            return once(step(acc["state"], x), lambda s: F.struct(s.alias("state"), F.concat(acc["out"], F.array(s)).alias("out")))
+        return F.aggregate(block, F.struct(first.alias("state"), F.slice(F.array(first), 1, 0).alias("out")), grow, lambda acc: acc["out"])
+
+    def each(blocks):
+        start = F.struct(zero.alias("state"), F.slice(F.array(zero), 1, 0).alias("out"))
+        firsts = F.aggregate(blocks, start, lambda acc, block: F.struct(
+            F.aggregate(block, acc["state"], step).alias("state"), F.concat(acc["out"], F.array(acc["state"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, firsts, states))
+    return once(steps, lambda s: once(_blocks(s), each))
+
+
+def _blocks(array: Column) -> Column:
+    count = F.floor((F.size(array) - 1) / _BLOCK)
+    return F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(0)).cast("int")), lambda b: F.slice(array, b * _BLOCK + 1, _BLOCK))
+
+
+def cut(text: Column, ranges: Column, between: str = "") -> Column:
+    """The text without ``ranges``, (a, b) in characters, disjoint and in order; each leaves ``between``."""
+    def part(blocks, a, b):
+        joined = F.array_join(F.slice(blocks, F.floor(a / _CHARS).cast("int") + 1, F.floor((b - 1) / _CHARS).cast("int") - F.floor(a / _CHARS).cast("int") + 1), "")
+        return F.when(b > a, joined.substr(a % _CHARS + 1, b - a)).otherwise(F.lit(""))
+
+    def joined(blocks):
+        starts = F.concat(F.array(F.lit(0)), F.transform(ranges, lambda r: r["b"]))
+        ends = F.concat(F.transform(ranges, lambda r: r["a"]), F.array(F.length(text)))
+        return F.array_join(F.zip_with(starts, ends, lambda a, b: part(blocks, a, b)), between)
+    return once(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHARS}}}"), F.lit(0)), joined)
+
+
+def map_batches(df: DataFrame, schema: str | T.StructType, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Apply ``each`` to every Arrow batch."""
     def run(batches):
         for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm import text
-from haulmark.llm.common import map_batches
+from haulmark.llm.common import cut, map_batches, packed, unpacked, widened
 
 WINDOW = 10
 BLOCK_CHARS = 1 << 23
@@ -244,7 +244,7 @@ def mark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows with their number of words, the covered words and characters as merged runs, and the items found."""
     spark = documents.sparkSession
     rest = documents.drop(*_ADDED)
-    schema = ", ".join([f"`{name}` {kind}" for name, kind in rest.dtypes] + [_SCHEMA])
+    schema = widened(rest, _SCHEMA)
     asked = benchmark.select("item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL")
     total = asked.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("long")).first()[0]
     blocks = max(1, -(-total // (BLOCK_CHARS // 2)))  # half full on average
@@ -267,11 +267,7 @@ def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def remove(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows with the found passages cut out of ``text``."""
-    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-    cuts = F.arrays_zip(F.col("char_from").alias("a"), F.col("char_to").alias("b"))
-    clean = F.aggregate(cuts, start, lambda acc, x: F.struct(
-        x["b"].alias("pos"), F.concat(acc["out"], F.col("text").substr(acc["pos"] + 1, x["a"] - acc["pos"])).alias("out")),
-        lambda acc: F.concat(acc["out"], F.col("text").substr(acc["pos"] + 1, F.length("text"))))
-    return (mark(documents, benchmark)
-            .withColumn("text", F.when(F.size("char_from") > 0, clean).otherwise(F.col("text"))).select(*documents.columns))
+    """The rows with the found passages cut out of ``text``. Further columns keep their values, whatever their names."""
+    runs = F.zip_with("char_from", "char_to", lambda a, b: F.struct(a.cast("int").alias("a"), b.cast("int").alias("b")))
+    clean = F.when(F.size("char_from") > 0, cut(F.col("text"), runs)).otherwise(F.col("text"))
+    return unpacked(mark(packed(documents), benchmark).withColumn("text", clean), documents.columns)

@@ -21,11 +21,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.llm.common import cut, once, packed, running, unpacked
+
 # The base patterns.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed")
+_BASE = 3  # so many of them are base kinds
 
 WINDOW = 20
 #: Characters of each class and the least entropy, in bits, of a window that counts.
@@ -34,23 +37,25 @@ CLASSES = {"entropy_hex": ("0123456789abcdef", 2.9),
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 ALLOWED = r"(?i)example|sample|dummy|placeholder|your[_-]?key|changeme|xxxx|(.)\1{7}"
 MASK = "[SECRET]"
+#: Counts reach ``WINDOW``; sums of c * log2(c) are whole numbers of 2^-32, so that they do not drift along a text.
+_BITS = 5
+_PER_WORD = 12
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _scaled(value: float) -> int:
+    return round(value * 2**32)
+
+
 def _places(text: Column, pattern: str, matches: Column) -> Column:
     """(start, end) of each match, from the lengths of the pieces between matches and of the matches."""
-    steps = F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
-                         F.transform(matches, F.length).alias("size"))
-    start = F.struct(F.lit(0).alias("pos"), F.expr("CAST(array() AS array<struct<start:int,end:int>>)").alias("out"))
-
-    def step(acc, x):
-        begin = acc["pos"] + x["gap"]
-        end = begin + F.coalesce(x["size"], F.lit(0))  # the last piece has no match behind it
-        grown = F.when(x["size"].isNull(), acc["out"]).otherwise(
-            F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end")))))
-        return F.struct(end.alias("pos"), grown.alias("out"))
-    return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    steps = F.zip_with(F.transform(F.split(text, pattern, -1), F.length), F.transform(matches, F.length),
+                       lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
+    zero = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))
+    # The last piece has no match behind it.
+    return running(F.filter(steps, lambda x: x["size"].isNotNull()), zero, lambda at, x: F.struct(
+        (at["end"] + x["gap"]).alias("start"), (at["end"] + x["gap"] + x["size"]).alias("end")))
 
 
 def _base(text: Column, kind: str, pattern: str, has: str, least: int, group: int = 0) -> Column:
@@ -64,37 +69,48 @@ def _base(text: Column, kind: str, pattern: str, has: str, least: int, group: in
 
 
 def _entropy_range(candidate: Column, symbols: str, least: float) -> Column:
-    """(first, end) of the windows with enough entropy, relative to the candidate; nulls if there is none."""
-    size = len(symbols) + 1
-    weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
-    ids = F.transform(F.sequence(F.lit(1), F.length(candidate)),
-                      lambda i: F.instr(F.lit(symbols), candidate.substr(i, F.lit(1))))
-    zero = F.array_repeat(F.lit(0), size)
-    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("run"), zero.alias("counts"), F.lit(0.0).alias("sum"),
+    """(first, end) of the windows with enough entropy, relative to the candidate; nulls if there is none.
+
+    The counts of the symbols in the window are packed, ``_PER_WORD`` in a word of 64 bits; a character that enters and one
+    that leaves change at most two of these words.
+    """
+    words = -(-len(symbols) // _PER_WORD)
+    weight = F.array(*[F.lit(_scaled(c * math.log2(c)) if c else 0) for c in range(WINDOW + 1)])
+    most = _scaled(WINDOW * (math.log2(WINDOW) - least))
+    ids = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(symbols), c) - 1)
+    zero = F.array_repeat(F.lit(0).cast("long"), words)
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("run"), zero.alias("counts"), F.lit(0).cast("long").alias("sum"),
                      F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("end"))
 
-    def step(acc, x, ids):
-        full = acc["run"] == WINDOW
-        gone = F.when(full, F.get(ids, acc["i"] - WINDOW)).otherwise(F.lit(-1))
+    def word(x):
+        return F.floor(x / _PER_WORD).cast("int")
+
+    def one(x):
+        return F.call_function("shiftleft", F.lit(1).cast("long"), x % _PER_WORD * _BITS)
+
+    def count(counts, x):
+        return F.call_function("shiftright", F.get(counts, word(x)), x % _PER_WORD * _BITS).bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")
+
+    def inside(acc, x, gone):
+        full = gone.isNotNull()
+        held = count(acc["counts"], gone)
         # First the character that leaves, then the one that enters.
-        left = F.transform(acc["counts"], lambda c, k: F.when(k == gone, c - 1).otherwise(c))
-        held = F.get(acc["counts"], F.when(full, gone).otherwise(F.lit(0)))
         less = F.when(full, acc["sum"] - F.get(weight, held) + F.get(weight, held - 1)).otherwise(acc["sum"])
-        now = F.get(left, x)
-        counts = F.transform(left, lambda c, k: F.when(k == x, c + 1).otherwise(c))
-        total = less - F.get(weight, now) + F.get(weight, now + 1)
-        run = F.least(acc["run"] + 1, F.lit(WINDOW))
-        hot = (run == WINDOW) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= least)
-        after = acc["i"] + 1
-        inside = F.struct(after.alias("i"), run.alias("run"), counts.alias("counts"), total.alias("sum"),
-                          F.when(hot, F.coalesce(acc["first"], after - WINDOW)).otherwise(acc["first"]).alias("first"),
-                          F.when(hot, after).otherwise(acc["end"]).alias("end"))
-        anew = F.struct(after.alias("i"), F.lit(0).alias("run"), zero.alias("counts"), F.lit(0.0).alias("sum"),
+        now = count(acc["counts"], x) - F.when(gone == x, 1).otherwise(0)
+        counts = F.transform(acc["counts"], lambda w, k: w + F.when(k == word(x), one(x)).otherwise(0) - F.when(k == word(gone), one(gone)).otherwise(0))
+        run, after = F.least(acc["run"] + 1, F.lit(WINDOW)), acc["i"] + 1
+        return once(less - F.get(weight, now) + F.get(weight, now + 1), lambda total: F.struct(
+            after.alias("i"), run.alias("run"), counts.alias("counts"), total.alias("sum"),
+            F.when((run == WINDOW) & (total <= most), F.coalesce(acc["first"], after - WINDOW)).otherwise(acc["first"]).alias("first"),
+            F.when((run == WINDOW) & (total <= most), after).otherwise(acc["end"]).alias("end")))
+
+    def step(acc, x, ids):
+        anew = F.struct((acc["i"] + 1).alias("i"), F.lit(0).alias("run"), zero.alias("counts"), F.lit(0).cast("long").alias("sum"),
                         acc["first"].alias("first"), acc["end"].alias("end"))
-        return F.when(x == 0, anew).otherwise(inside)
-    # The ids are bound once by a transform over a one-element array.
-    folded = F.transform(F.array(ids), lambda v: F.aggregate(v, start, lambda acc, x: step(acc, x, v)))
-    return F.get(F.transform(folded, lambda r: F.struct(r["first"].alias("first"), r["end"].alias("end"))), F.lit(0))
+        gone = F.when(acc["run"] == WINDOW, F.get(ids, acc["i"] - WINDOW))
+        return F.when(x < 0, anew).otherwise(once(gone, lambda g: inside(acc, x, g)))
+    return once(once(ids, lambda v: F.aggregate(v, start, lambda acc, x: step(acc, x, v))),
+                 lambda r: F.struct(r["first"].alias("first"), r["end"].alias("end")))
 
 
 def _class_spans(worth: Column, kind: str) -> Column:
@@ -121,11 +137,16 @@ def find(documents: DataFrame) -> DataFrame:
     base = F.concat(_base(text, "assign", ASSIGN, ASSIGN, 6, group=2),
                     _base(text, "access", ACCESS, "AKIA[A-Z0-9]{16}", 20),
                     _base(text, "hex", HEX, "[0-9a-f]{24}", 24))
-    found = (documents.withColumn("base_spans", F.array_sort(base))
-             .withColumn("all_spans", _high_entropy(text)))
-    added = F.filter("all_spans", lambda m: ~F.exists(
-        "base_spans", lambda b: (b["start"] <= m["start"]) & (b["end"] >= m["end"])))
-    return found.withColumn("all_spans", F.array_sort(F.concat("base_spans", added)))
+    return (documents.withColumn("base_spans", F.array_sort(base)).withColumn("all_spans", _high_entropy(text))
+            .withColumn("all_spans", once(F.array_sort(F.concat("base_spans", "all_spans")), _not_inside)))
+
+
+def _not_inside(spans: Column) -> Column:
+    """Of sorted spans the base ones and those that no base span before them, or at the same start, reaches over."""
+    def reach(at, x):
+        return F.greatest(at, F.when(x["kind"] < _BASE, x["end"]).otherwise(0))
+    marked = F.zip_with(spans, running(spans, F.lit(0), reach), lambda x, over: F.struct(x.alias("span"), over.alias("over")))
+    return F.transform(F.filter(marked, lambda m: (m["span"]["kind"] < _BASE) | (m["span"]["end"] > m["over"])), lambda m: m["span"])
 
 
 def _written(spans: str) -> Column:
@@ -144,14 +165,14 @@ def report(documents: DataFrame) -> DataFrame:
 
 
 def redact(documents: DataFrame, mask: str = MASK) -> DataFrame:
-    """The rows with every span of ``text`` replaced by the mask; touching or overlapping spans share one."""
-    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        fresh = F.concat(acc["out"], F.col("text").substr(acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mask))
-        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"),
-                        F.when((s["start"] > acc["pos"]) | (acc["pos"] == 0), fresh).otherwise(acc["out"]).alias("out"))
-    clean = F.aggregate("all_spans", start, step, lambda acc: F.concat(
-        acc["out"], F.col("text").substr(acc["pos"] + 1, F.length("text"))))
-    return (find(documents).withColumn("text", F.when(F.size("all_spans") > 0, clean).otherwise(F.col("text")))
-            .select(*documents.columns))
+    """The rows with every span of ``text`` replaced by the mask; touching or overlapping spans share one. Further columns
+    keep their values, whatever their names; a null text stays null."""
+    spans = F.col("all_spans")
+    before = running(spans, F.lit(-1), lambda at, s: F.greatest(at, s["end"]))
+    # A span that starts behind all ends before it begins a mask, which goes on to the last end before the next such span.
+    met = F.zip_with(spans, F.concat(F.array(F.lit(-1)), before), lambda s, end: F.struct(s["start"].alias("start"), end.alias("end")))
+    fresh = F.filter(met, lambda m: m["start"] > m["end"])
+    ends = F.concat(F.transform(F.slice(fresh, F.lit(2), F.greatest(F.size(fresh) - 1, F.lit(0))), lambda m: m["end"]), F.array(F.array_max(before)))
+    masked = F.zip_with(fresh, ends, lambda m, end: F.struct(m["start"].alias("a"), end.alias("b")))
+    clean = F.when(F.size("all_spans") > 0, cut(F.col("text"), masked, mask)).otherwise(F.col("text"))
+    return unpacked(find(packed(documents)).withColumn("text", clean), documents.columns)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm import text
-from haulmark.llm.common import map_batches
+from haulmark.llm.common import map_batches, widened
 
 MAX_TRAINING_DOCS = 4000
 SEED_LOG_ODDS = 3.0
@@ -304,8 +304,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
         value, total, spans = _scored(batch.column(batch.schema.get_field_index("text")), packed.value)
         columns = [pa.array(value), pa.array((value >= REJECT).astype(np.int32)), pa.array(total), pa.array(spans, pa.string())]
         yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *added])
-    schema = ", ".join([f"`{name}` {kind}" for name, kind in rest.dtypes] + [SCORE_SCHEMA])
-    return map_batches(rest, schema, each)
+    return map_batches(rest, widened(rest, SCORE_SCHEMA), each)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
