@@ -2,7 +2,7 @@
 
 Every stage reads what its predecessor kept as a stored table and, but for the last, returns its columns.
 
-Defined cases, for every stage: an empty table gives an empty one; null and empty texts have no score to reject them, no
+Defined cases, for every stage: an empty table gives an empty one; null and empty texts are scored by the model without words, have no
 copies, passages or secrets, stay as they are, and have no tokens; further columns, also null ones, keep their values,
 whatever their names, but for ``n_chars``, which follows the text; repeated rows are copies, of which one stays.
 """
