@@ -171,9 +171,10 @@ SELECT s.shipment_id, f.facility_code FROM shipments s JOIN
   (SELECT facility_code, row_number() OVER (ORDER BY facility_id) AS n, count(*) OVER () AS size FROM facilities) f
   ON f.n = s.shipment_id % f.size + 1""")
 def j18(lake):
-    """Index into a numbered pool; the pool size is a scalar subquery over the pool itself."""
-    pool = row_number_within(lake.facilities.select("facility_id", "facility_code"), [], "facility_id", "n")
-    size = lake.facilities.agg(F.count(F.lit(1))).scalar()
+    """Index into a numbered pool, stored once; the pool size is a scalar subquery over the pool itself."""
+    pool = lake.once("facility-pool", lambda: row_number_within(
+        lake.facilities.select("facility_id", "facility_code"), [], "facility_id", "n"))
+    size = pool.agg(F.count(F.lit(1))).scalar()
     picks = lake.shipments.select("shipment_id", (_c("shipment_id") % size + 1).alias("n"))
     return picks.join(pool, "n").select("shipment_id", "facility_code")
 

@@ -320,7 +320,7 @@ def s19(lake):
 SELECT shipment_status, count(*) AS n, min(shipment_id) AS lo, max(shipment_id) AS hi FROM shipments GROUP BY 1""")
 def s20(lake):
     fragmented, tidy = new_path(lake.spark, "fragmented"), new_path(lake.spark, "compacted")
-    lake.shipments.select("shipment_id", "shipment_status").repartition(32).write.parquet(fragmented)
+    lake.shipments.select("shipment_id", "shipment_status").write.option("maxRecordsPerFile", 1000).parquet(fragmented)
     writes.compact(lake.spark, fragmented, tidy, ["shipment_status", "shipment_id"])
     return lake.spark.read.parquet(tidy).groupBy("shipment_status").agg(
         F.count(F.lit(1)).alias("n"), F.min("shipment_id").alias("lo"), F.max("shipment_id").alias("hi"))

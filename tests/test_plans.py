@@ -1,7 +1,10 @@
 """Plans without broadcasts: how often rows are exchanged where tables are read again and again."""
 
+import re
+
 import pytest
 
+from haulmark.catalog.all_queries import PLANS
 from haulmark.plans import billing, quality
 
 
@@ -32,3 +35,10 @@ def test_tracking_order_needs_one_exchange(lake, no_broadcast):
     late = quality.structure_rules({name: lake.warehouse[name] for name in ("freight_bills", "pallets", "tracking_events")})
     plan = late._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(entity_type") == 1
+
+
+def test_picks_from_a_numbered_pool_start_from_the_stored_pool(lake, no_broadcast):
+    """Three exchanges more than the shipments': both sides of the join and the size of the pool, whose plan is shown repeatedly."""
+    def distinct(df):
+        return set(re.findall(r"Exchange .*plan_id=(\d+)", df._jdf.queryExecution().executedPlan().toString()))
+    assert len(distinct(PLANS["j18_numbered_pool"](lake))) <= len(distinct(lake.shipments.select("shipment_id"))) + 3  # 35 before
