@@ -135,10 +135,24 @@ def j13(lake):
 
 
 @query("j14_lateral_columns", """
-SELECT vehicle_id, max_payload_kg, vehicle_type, capacity_class FROM vehicles""", money="max_payload_kg")
+SELECT vehicle_id, vehicle_type, capacity_class, max_payload_kg,
+  CASE vehicle_type
+    WHEN 'Semi' THEN CASE vehicle_id % 3 WHEN 0 THEN 'Freightliner' WHEN 1 THEN 'Peterbilt' ELSE 'Kenworth' END
+    WHEN 'Box Truck' THEN CASE vehicle_id % 3 WHEN 0 THEN 'International' WHEN 1 THEN 'Isuzu' ELSE 'Freightliner' END
+    ELSE CASE vehicle_id % 2 WHEN 0 THEN 'Ford' ELSE 'Mercedes-Benz' END END AS make,
+  CASE vehicle_type WHEN 'Semi' THEN 'Cascadia' WHEN 'Box Truck' THEN 'MT45'
+    ELSE CASE vehicle_id % 2 WHEN 0 THEN 'Transit' ELSE 'Sprinter' END END AS model FROM vehicles""", money="max_payload_kg")
 def j14(lake):
-    """Each derived column builds on the one before it: payload, type, class."""
-    return lake.vehicles.select("vehicle_id", "max_payload_kg", "vehicle_type", "capacity_class")
+    """Each derived column builds on the one before it: payload, type, class, make, model."""
+    v, kind = _c("vehicle_id"), _c("vehicle_type")
+    make = (F.when(kind == "Semi", F.when(v % 3 == 0, "Freightliner").when(v % 3 == 1, "Peterbilt").otherwise("Kenworth"))
+            .when(kind == "Box Truck", F.when(v % 3 == 0, "International").when(v % 3 == 1, "Isuzu")
+                  .otherwise("Freightliner"))
+            .otherwise(F.when(v % 2 == 0, "Ford").otherwise("Mercedes-Benz")))
+    model = (F.when(kind == "Semi", "Cascadia").when(kind == "Box Truck", "MT45")
+             .otherwise(F.when(_c("make") == "Ford", "Transit").otherwise("Sprinter")))
+    return (lake.vehicles.select("vehicle_id", "vehicle_type", "capacity_class", "max_payload_kg", make.alias("make"))
+            .withColumn("model", model))
 
 
 @query("j15_statement_text", """

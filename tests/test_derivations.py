@@ -133,3 +133,10 @@ def test_staffing_plan_names_the_titles(spark, lake):
     found = plan.select("role_level", "is_driver", "planned_title").distinct().collect()
     assert found and all(r.planned_title in titles.get(r.role_level, {r.planned_title}) for r in found)
     assert all(("Driver" in r.planned_title) == r.is_driver for r in found)
+
+
+def test_vehicles_have_make_and_model(spark, lake):
+    models = {"Semi": {"Cascadia"}, "Box Truck": {"MT45"}, "Cargo Van": {"Transit", "Sprinter"}}
+    found = run("j14_lateral_columns", spark, SF_DIR).collect()
+    assert found and all(r.model in models[r.vehicle_type] and r.make for r in found)
+    assert all((r.make == "Ford") == (r.model == "Transit") for r in found if r.vehicle_type == "Cargo Van")
