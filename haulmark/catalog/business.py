@@ -52,7 +52,7 @@ def b1(lake):
 @query("b2_billable_weight", """
 SELECT package_id, greatest(actual_weight_kg, dim_weight_kg) AS billable_kg FROM packages""", money="billable_kg")
 def b2(lake):
-    return lake.packages.select(
+    return lake.derive("packages").select(
         "package_id", S.billable_weight(_c("actual_weight_kg"), _c("dim_weight_kg")).alias("billable_kg"))
 
 

@@ -133,3 +133,20 @@ def test_two_loads_at_once_number_their_rows(spark):
     assert sorted(r.k for part in both for r in part) == list(range(1, 1101))
     for part in both:
         assert [r.k - part[0].k for r in part] == list(range(len(part)))
+
+
+def test_numbers_within_groups_are_those_of_the_whole_order(spark, monkeypatch):
+    """Groups far apart, of both signs and of different sizes, rows equal in the leading columns, several ranges of groups."""
+    monkeypatch.setattr(keys, "_RANGE_BYTES", 2000)
+    n = F.col("id")
+    df = spark.range(6000).select(
+        F.when(n < 2000, n % 300 * 10**14 - 10**16).when(n < 5900, n * 7).otherwise(3).alias("g"), (n * 31 % 4).cast("int").alias("a"),
+        F.when(n % 9 > 0, (n % 13).cast("double")).alias("b"), n.alias("last"))
+    order = ["g", "a", "b", "last"]
+    assert rows(keys.dense_keys_by_group(df, order, "k")) == rows(dense_keys(df, order, "k").select(*order, "k"))
+    assert rows(keys.dense_keys_by_group(df.limit(0), order, "k")) == []
+
+
+def test_counts_per_group_are_made_behind_the_exchange(spark):
+    keyed = keys.dense_keys_by_group(spark.range(100).select("id", (F.col("id") % 7).alias("b")), ["id", "b"], "k")
+    assert rows(keyed.select("id", "k")) == rows(spark.range(100).selectExpr("id", "id + 1"))
