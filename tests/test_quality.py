@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haulmark.plans import quality as Q
 from haulmark.plans.quality import RULES
+from tests.conftest import SF_DIR, rows
 
 
 def violations(report):
@@ -143,3 +144,42 @@ def test_fingerprint_sees_a_value_moved_between_null_columns(spark):
 def test_profile_orders_numbers_as_numbers(spark):
     row = Q.profile(spark.createDataFrame([(9,), (10,), (200,)], "n long"), ["n"]).first()
     assert (row["smallest"], row["largest"]) == ("9", "200")
+
+
+def test_row_rules_ask_only_for_tables_that_have_one(spark, lake):
+    """Loading the other tables is most of the work of a whole check."""
+    class Asked(dict):
+        asked = []
+
+        def __missing__(self, name):
+            self.asked.append(name)
+            return lake.derive(name)
+
+        def __iter__(self):
+            return iter(Q.RULES)
+
+    tables = Asked()
+    assert rows(Q.row_rules(tables, ("differs",))) == [
+        ("routes", "check:different_facilities", 0), ("shipments", "check:addresses_differ", 0)]
+    assert tables.asked == ["routes", "shipments"]
+
+
+def test_unique_values_are_counted_behind_the_exchange(spark):
+    df = spark.createDataFrame([("a", 1), ("A", 1), (None, 2), (None, 2), ("b", 3)], "t string, n int")
+    report = Q.unique_report("t", df, ["t", "n"])
+    assert rows(report) == [("t", "unique:t,n", 2)]
+    assert "REPARTITION_BY_COL" in report._jdf.queryExecution().executedPlan().toString()
+
+
+def test_operators_counted_per_pick_are_those_of_the_events(spark, lake):
+    events = lake.staffed_events.filter("operator_id IS NOT NULL").groupBy("operator_id").count()
+    assert rows(lake.operator_counts) == rows(events) != []
+
+
+def test_counting_the_tables_does_not_store_the_event_log(spark):
+    from haulmark.catalog.summaries import table_counts
+    from haulmark.plans.lake import Lake
+    fresh = Lake(spark, SF_DIR)
+    counts = {r.table_name: r.n for r in table_counts(fresh).collect()}
+    assert "tracking_events" not in fresh.warehouse._tables and counts["tracking_events"] > 0
+    assert counts["tracking_events"] == fresh.warehouse["tracking_events"].count()
