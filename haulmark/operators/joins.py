@@ -13,14 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _keys_of(other: DataFrame, key: str) -> DataFrame:
+    """The distinct keys, made behind the exchange: before it, a task would hold all keys of its part of the input."""
+    return other.select(key).repartition(key).distinct()
+
+
 def found_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Semi join. The other side is reduced to its keys first, so its hot keys are single rows."""
-    return df.join(other.select(key).distinct(), key, "left_semi")
+    return df.join(_keys_of(other, key), key, "left_semi")
 
 
 def missing_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Anti join, with the other side reduced to its keys."""
-    return df.join(other.select(key).distinct(), key, "left_anti")
+    return df.join(_keys_of(other, key), key, "left_anti")
 
 
 def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:

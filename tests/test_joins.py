@@ -75,3 +75,13 @@ def test_no_nested_loop_in_interval_joins(lake):
     for name in ("j11_range_join", "j12_postal_range", "j13_rate_asof", "b17_rate_quote"):
         plan = PLANS[name](lake)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "CartesianProduct" not in plan, name
+
+
+def test_keys_of_the_other_side_are_reduced_behind_the_exchange(spark):
+    """A task that reads the other side does not hold its keys."""
+    from haulmark.operators import joins
+    one, many = spark.createDataFrame([(1,), (2,), (None,)], "k int"), spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    for join, want in ((joins.found_in, [(1,)]), (joins.missing_in, [(2,), (None,)])):
+        found = join(one, many, "k")
+        assert rows(found) == sorted(want, key=repr)
+        assert "REPARTITION_BY_COL" in found._jdf.queryExecution().executedPlan().toString()
