@@ -58,3 +58,12 @@ def test_scans_are_pruned_and_pushed_down(spark, lake):
 def test_declared_schema_is_the_stored_one(spark, name):
     stored = spark.read.parquet(f"{SF_DIR}/{name}.parquet").schema
     assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in INPUT_SCHEMAS[name]]
+
+
+def test_compaction_bounds_the_rows_that_a_task_sorts(spark):
+    source, target = new_path(spark, "many"), new_path(spark, "bounded")
+    spark.range(1000).select((F.col("id") % 2).alias("a"), "id").repartition(20).write.parquet(source)
+    writes.compact(spark, source, target, ["a", "id"], file_rows=150)
+    got = spark.read.parquet(target)
+    sizes = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) >= 6 and max(sizes) < 300
