@@ -299,7 +299,7 @@ UNION ALL SELECT 'tracking_events', 'time_order', count(*) FROM (
   WHERE event_ts < p""")
 def s18_verification(lake):
     """The verification that follows a load; a load with violations raises."""
-    report = quality.verification_report(lake.warehouse, lake.staffed_events)
+    report = quality.verification_report(lake.warehouse, lake.operator_counts, "n_events")
     quality.require_clean(report)
     return report
 
