@@ -248,6 +248,28 @@ def test_passages_of_texts_that_a_leader_covers(spark):
     assert out >= {(3 * k + 2, 60, 125) for k in range(12)}, sorted(out)
 
 
+def contest(k):
+    """Two texts with a near passage of 60 words, at 2 * k and 2 * k + 1, among short texts that hold one phrase of it each."""
+    shared = prose(5000 + k, 60).split()
+    near = shared[:30] + ["zzz"] + shared[31:]
+    mine, other = (f"{prose(6000 + 4 * k + j, 50)} {' '.join(words)} {prose(6002 + 4 * k + j, 50)}" for j, words in enumerate((shared, near)))
+    rows, words = [(2 * k, mine), (2 * k + 1, other)], mine.split()
+    for n, window in enumerate(next(passages._windows(pa.record_batch({"node": pa.array([0]), "text": [mine]}))).to_pylist()):
+        if 50 <= window["c"] < 106:
+            phrase = " ".join(words[window["c"]:window["c"] + 5])
+            rows += [(10_000 + 1_000 * k + 20 * n + j, f"{prose(f'{k} {n} {j}', 26)} {phrase} {prose(f'{k} {n} {j} behind', 26)}") for j in range(20)]
+    return rows
+
+
+CONTESTS = (34, 35, 39)
+
+
+def test_near_passages_behind_more_leaders_than_turns(spark):
+    rows = [row for k in CONTESTS for row in contest(k)]
+    out = {(r["doc_id"], r["partner_id"], r["first_word"], r["end_word"]) for r in passages.report(docs(spark, rows)).collect()}
+    assert out >= {pair for k in CONTESTS for pair in ((2 * k, 2 * k + 1, 50, 110), (2 * k + 1, 2 * k, 50, 110))}
+
+
 def near_pair(seed, n, change):
     """Two texts that share n random words, one of which is changed, in random surroundings."""
     rng = random.Random(seed)
