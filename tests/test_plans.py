@@ -42,3 +42,28 @@ def test_picks_from_a_numbered_pool_start_from_the_stored_pool(lake, no_broadcas
     def distinct(df):
         return set(re.findall(r"Exchange .*plan_id=(\d+)", df._jdf.queryExecution().executedPlan().toString()))
     assert len(distinct(PLANS["j18_numbered_pool"](lake))) <= len(distinct(lake.shipments.select("shipment_id"))) + 3  # 35 before
+
+
+def test_shuffles_start_with_partitions_by_the_bytes_of_the_input(spark):
+    """Three GB, as six times the larger tables are: a task's share of an exchange does not grow with them."""
+    from haulmark.session import _INITIAL, _INPUT_BYTES, partition_for
+    before = spark.conf.get(_INITIAL, None)
+    try:
+        partition_for(spark, 1)
+        assert spark.conf.get(_INITIAL, None) == before
+        partition_for(spark, 3 << 30)
+        assert int(spark.conf.get(_INITIAL)) == (3 << 30) // _INPUT_BYTES
+        plan = spark.range(10).repartition("id")._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(id#" in plan and f", {(3 << 30) // _INPUT_BYTES})" in plan
+        partition_for(spark, 1 << 30)
+        assert int(spark.conf.get(_INITIAL)) == (3 << 30) // _INPUT_BYTES
+    finally:
+        spark.conf.unset(_INITIAL) if before is None else spark.conf.set(_INITIAL, before)
+
+
+def test_profiling_all_columns_stores_packages_only(spark):
+    from haulmark.plans.lake import Lake
+    from tests.conftest import SF_DIR
+    fresh = Lake(spark, SF_DIR)
+    assert PLANS["q13_all_columns"](fresh).count() > 150
+    assert set(fresh.warehouse._tables) == {"packages"}
