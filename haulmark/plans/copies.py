@@ -8,26 +8,45 @@ below nodes that differ, so the work follows the differences, not the tables.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.plans.quality import RULES
 from haulmark.session import new_path
-from haulmark.sources.writes import append, stage
+from haulmark.sources.writes import stage
 
 _LEAF_BITS, _FAN_BITS = 12, 8
 LEAF_KEYS, FANOUT = 1 << _LEAF_BITS, 1 << _FAN_BITS
 TOP = -(-(64 - _LEAF_BITS) // _FAN_BITS)  # the level where a table has one node, and one more if rows have no key
 _SIGN = -(1 << 63)
+_PIECE = 21  # bits: a hash is summed in three pieces as longs, which hold the sums of 2^42 rows
+_MARKS = 62     # columns of one mark
+_TOGETHER = 4
 _c = F.col
 
 
-def _content(*parts) -> list:
-    """Count and order-free hash of rows; the sums cannot overflow, and two hashes have to agree."""
-    first, second = F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)
-    return [F.sum(first.cast("decimal(38,0)")).alias("content"), F.bit_xor(second).alias("mixed")]
+def side_by_side(work: Callable[[str], DataFrame], names: Iterable[str]) -> dict[str, DataFrame]:
+    """``work`` for some tables at a time, so that the small ones and the last tasks of the large ones leave no core idle."""
+    names = list(names)
+    with ThreadPoolExecutor(_TOGETHER) as pool:
+        return dict(zip(names, pool.map(work, names), strict=True))
+
+
+def _hashes(*parts) -> list:
+    return [F.xxhash64(*parts).alias("__first"), F.xxhash64(F.lit("second"), *parts).alias("__second")]
+
+
+def _content() -> list:
+    """Order-free hash of rows with ``_hashes``; the sums cannot overflow, and two hashes have to agree."""
+    low = (1 << _PIECE) - 1
+    pieces = [F.shiftright("__first", k * _PIECE) if k == 2 else F.shiftright("__first", k * _PIECE).bitwiseAND(F.lit(low)) for k in range(3)]
+    whole = [F.sum(piece).cast("decimal(20,0)") * F.lit(1 << k * _PIECE).cast("decimal(14,0)") for k, piece in enumerate(pieces)]
+    return [(whole[0] + whole[1] + whole[2]).cast("decimal(38,0)").alias("content"), F.bit_xor("__second").alias("mixed")]
 
 
 def _node_at(levels):
@@ -36,12 +55,14 @@ def _node_at(levels):
 
 
 def _leaves(name: str, df: DataFrame) -> DataFrame:
-    """Nulls are hashed with a mark of their own, so a value that moved to another column shows. Rows without key are node -1."""
+    """Marks tell which values are null, so a value that moved to another column shows. Rows without key are node -1."""
     key = _c(RULES[name].keys[0][0]).cast("long")
     # With the sign bit turned the order of the keys is that of the unsigned numbers.
     node = F.coalesce(F.shiftrightunsigned(key.bitwiseXOR(F.lit(_SIGN)), _LEAF_BITS), F.lit(-1))
-    parts = [part for c in sorted(df.columns) for part in (_c(c), _c(c).isNull())]
-    return (df.groupBy(node.alias("node")).agg(F.count(F.lit(1)).alias("n_rows"), *_content(*parts))
+    columns = sorted(df.columns)
+    marks = [reduce(add, (F.shiftleft(_c(c).isNull().cast("long"), k) for k, c in enumerate(columns[at:at + _MARKS]))) for at in range(0, len(columns), _MARKS)]
+    parts = [*(_c(c) for c in columns), *marks]
+    return (df.select(node.alias("node"), *_hashes(*parts)).groupBy("node").agg(F.count(F.lit(1)).alias("n_rows"), *_content())
             .select(F.lit(name).alias("table_name"), "node", "n_rows", "content", "mixed"))
 
 
@@ -56,14 +77,14 @@ class HashTree:
         self.spark = tables[names[0]].sparkSession
         self.path = new_path(self.spark, "hash-tree")
         folder = new_path(self.spark, "hash-leaves")
-        for name in names:  # one by one: a plan over all tables would be analysed anew with every table that joins it
-            part = _leaves(name, tables[name])
-            append(part, folder)
-        self.schema = part.schema
-        leaves = self.spark.read.schema(self.schema).parquet(folder)
+        # Each by itself: a plan over all tables would be analysed anew with every table that joins it.
+        parts = {name: _leaves(name, tables[name]) for name in names}
+        side_by_side(lambda name: parts[name].write.parquet(f"{folder}/{name}"), names)
+        self.schema = parts[names[0]].schema
+        leaves = self.spark.read.schema(self.schema).parquet(f"{folder}/*")
         above = leaves.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(TOP))))
-        folded = above.groupBy("level", "table_name", _node_at(_c("level")).alias("up")).agg(
-            F.sum("n_rows").alias("rows"), *_content("node", "n_rows", "content", "mixed"))
+        above = above.select("level", "table_name", "n_rows", _node_at(_c("level")).alias("up"), *_hashes("node", "n_rows", "content", "mixed"))
+        folded = above.groupBy("level", "table_name", "up").agg(F.sum("n_rows").alias("rows"), *_content())
         (folded.select("level", "table_name", _c("up").alias("node"), _c("rows").alias("n_rows"), "content", "mixed")
          .unionByName(leaves.withColumn("level", F.lit(0))).hint("rebalance", "level").write.partitionBy("level").parquet(self.path))
 

@@ -68,3 +68,19 @@ def test_a_comparison_reads_below_differences_only(spark, data, monkeypatch):
     monkeypatch.setattr(copies, "_unequal", counted)
     assert len(found(a, b)) == 1
     assert a.level(0).count() > 30 and max(sizes) <= copies.FANOUT
+
+
+def test_hash_sums_are_whole_numbers_of_longs(spark):
+    """Hashes are summed as longs in pieces; the sum is that of the hashes, also where it leaves the range of a long."""
+    ids = spark.range(10_000).select(F.xxhash64("id").alias("__first"), F.lit(0).cast("long").alias("__second"))
+    ends = spark.createDataFrame([(v, 0) for v in (2**63 - 1, 2**63 - 1, -2**63, -2**63, -2**63, -1, 0)], "__first long, __second long")
+    for df in (ids, ends):
+        held = df.agg(*copies._content())
+        assert held.first()["content"] == df.agg(F.sum(_c("__first").cast("decimal(38,0)"))).first()[0]
+    assert "sum(cast" not in held._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_tables_are_hashed_side_by_side(spark):
+    from threading import Barrier
+    meet = Barrier(2)
+    assert copies.side_by_side(lambda name: meet.wait(60) >= 0, ["t", "u"]) == {"t": True, "u": True}
