@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from haulmark.llm import (chat, coder, decontaminate, embeddings, licenses, ngram_join, passages, pieces, secrets, text,
                           token_files, toxicity)
@@ -415,3 +416,14 @@ def test_chat(spark):
     assert sorted(out) == [3, 4, 5, 6] and out[4]["n_copies"] == 2
     assert out[3]["rendered"] == "<|user|>\nhi\n<|bot|>\nyo\n<|user|>\n\n<|end|>"
     assert chat.collapse_and_render(spark.createDataFrame([], say)).count() == 0
+
+
+def test_batches_are_cut_by_bytes(spark):
+    """3,000 texts of 8,000 characters came as one batch of 24 MB."""
+    from haulmark.llm.common import map_batches, record_batch
+
+    def size(batch):
+        yield record_batch(rows=[batch.num_rows], held=[batch.nbytes])
+    texts = spark.range(0, 3_000, 1, 1).select(F.repeat(F.lit("abcdefgh"), 1_000).alias("text"))
+    sizes = map_batches(texts, "rows long, held long", size).collect()
+    assert sum(r["rows"] for r in sizes) == 3_000 and max(r["held"] for r in sizes) < 5 << 20
