@@ -6,9 +6,11 @@ shingles, in any common order, share at least k. The order is rare first, by a c
 and k = 1 + n // 50, the smaller of both nodes'. Lists hold prefixes only; lists of one node go, and nodes with fewer
 lists than any pair of theirs would share.
 
-1. Each node is compared with one node of another component: the first node of the lists that they share most of.
-   Turns, each with another order of the nodes, link nearly all of a large group of copies with one pair per
-   node and turn; they go on while they link more than one of ``STOP`` nodes, at most ``LEADER_TURNS`` times.
+1. Each node is compared with one node of another component: of the first nodes of its lists, each list in an order of
+   its own, the one whose parities (below) are nearest. Turns, each with other orders, link nearly all of a large group of
+   copies with one pair per node and turn; they go on while they link more than one of ``STOP`` nodes, at most
+   ``LEADER_TURNS`` times. One more turn takes the nearest of all members that the exact search would meet, one of each
+   other component: a node that links to a large group is linked by it, not by all its links to the group.
 2. The exact search covers what is left: only lists that still hold nodes of different components, and only pairs of
    different components. Short lists, and all lists of a node whose prefix has so many long ones that k could be
    reached by these alone (a heavy node), come to the querying node and are heap-merged; the long lists of a pair that
@@ -42,7 +44,7 @@ from haulmark.llm.common import Rounds, components, map_batches, record_batch, s
 
 LONG_LIST = 256
 LEADER_TURNS = 12
-STOP = 50
+STOP = 25
 _LEAST_BITS = 256
 _WORDS = _LEAST_BITS // 64
 _ADD = np.uint64(0x9E3779B97F4A7C15)
@@ -192,7 +194,8 @@ def verified(pairs: DataFrame, parities: DataFrame, sets: DataFrame, percent: in
 def _labelled(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return shared.select("list", "node", "n", F.col("node").alias("component"))
-    return shared.join(labels, "node", "left").select("list", "node", "n", F.coalesce("component", "node").alias("component"))
+    return (shared.select("list", "node", "n").join(labels, "node", "left")
+            .select("list", "node", "n", F.coalesce("component", "node").alias("component")))
 
 
 def _mixed(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -205,19 +208,26 @@ def _mixed(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def _turn(shared: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> DataFrame:
     """Entries of the lists that still hold different components, each with the list's first node by this turn's order
-    where that may be a partner."""
+    where that may be a partner. The order is another one in each list, so a node meets nearly as many others as it has lists."""
     rows = _labelled(shared, labels)
-    first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "component")).alias("leader")
+    first = F.min(F.struct(F.xxhash64("node", "list", F.lit(turn)).alias("order"), "node", "n", "component")).alias("leader")
     leaders = (rows.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"), first)
                .filter("low <> high").select("list", "leader"))
     other = (F.col("component") != F.col("leader.component")) & _compatible(F.col("n"), F.col("leader.n"), percent)
     return rows.join(leaders, "list").select("list", "node", "n", F.when(other, F.col("leader.node")).alias("partner"))
 
 
-def _leader_pairs(rows: DataFrame) -> DataFrame:
-    """Each node with the partner that it shares most lists with."""
-    return (rows.filter("partner IS NOT NULL").groupBy("node", "partner").agg(F.count(F.lit(1)).alias("times"))
-            .groupBy("node").agg(F.max_by("partner", F.struct("times", "partner")).alias("b")).select(F.col("node").alias("a"), "b"))
+def _leader_pairs(rows: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """Each node with the partner whose parities (folded) differ least from its own, where these allow a link."""
+    def side(name):
+        return parities.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("short").alias(f"short_{name}"))
+    met = rows.filter("partner IS NOT NULL").groupBy("node", "partner").agg(F.count(F.lit(1)).alias("times"))
+    words = [[F.col(f"short_{name}")[k] for k in range(_WORDS)] for name in ("node", "partner")]
+    differ = _folded_differing(*words)
+    return (met.join(side("node"), "node").join(side("partner"), "partner")
+            .filter(_may_link(F.col("n_node"), F.col("n_partner"), *words, percent))
+            .groupBy("node").agg(F.min_by("partner", F.struct(differ, -F.col("times"), "partner")).alias("b"))
+            .select(F.col("node").alias("a"), "b"))
 
 
 def _merge(batch: pa.RecordBatch):
@@ -246,16 +256,20 @@ def _probe(batch: pa.RecordBatch):
     yield batch.select([0, 1]).take(pa.array(kept, pa.int64()))
 
 
+def _folded_differing(mine, other) -> Column:
+    """At least so many shingles are in one of the sets only, by their folded parities."""
+    return reduce(add, (F.bit_count(x.bitwiseXOR(y)) for x, y in zip(mine, other, strict=True)))
+
+
 def _may_link(n: Column, m: Column, mine, other, percent: int) -> Column:
     """Whether two sets whose parities (folded) these are can be similar enough."""
-    differ = reduce(add, (F.bit_count(x.bitwiseXOR(y)) for x, y in zip(mine, other, strict=True)))
-    return (n + m - differ) * (100 + percent) >= (n + m) * (2 * percent)
+    return (n + m - _folded_differing(mine, other)) * (100 + percent) >= (n + m) * (2 * percent)
 
 
-def _rest(rows: DataFrame, lists: DataFrame, percent: int, parities: DataFrame | None = None, rounds: Rounds | None = None) -> DataFrame:
-    """Candidate pairs between the components so far, which read tables that ``rounds`` has stored.
+def _met(rows: DataFrame, lists: DataFrame, percent: int, parities: DataFrame | None, rounds: Rounds | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(merged entries, nodes with long lists, each merged entry with those members of its list that may link to it).
 
-    Members of a list whose folded ``parities`` rule a link out are not merged, so what the merge reads in a large group of
+    Members whose folded ``parities`` rule a link out are not merged, so what the merge reads in a large group of
     texts that are alike, but not enough, is near what it keeps.
     """
     stage = (rounds or Rounds(rows.sparkSession)).stage
@@ -281,6 +295,23 @@ def _rest(rows: DataFrame, lists: DataFrame, percent: int, parities: DataFrame |
     asked = merged.join(members, "list").withColumn("members", F.filter("members", lambda m: (
         (m["node"] < F.col("node")) & (m["component"] != F.col("component")) & _compatible(m["n"], F.col("n"), percent)
         & _may_link(m["n"], F.col("n"), [m[w] for w in words], [F.col(w) for w in words], percent))))
+    return merged, heavy, asked
+
+
+def _closest(asked: DataFrame) -> DataFrame:
+    """Pairs of each node with one node of each other component that it meets: of each list's members the one whose
+    parities (folded) differ least, and of these again the one. They are no more than the entries of the lists."""
+    words = [f"word_{k}" for k in range(_WORDS)]
+    best = F.array_min(F.transform("members", lambda m: F.struct(
+        _folded_differing([m[w] for w in words], [F.col(w) for w in words]).alias("differ"), m["node"].alias("node"), m["component"].alias("component"))))
+    return (asked.select("node", best.alias("best")).filter("best IS NOT NULL")
+            .groupBy(F.col("node").alias("a"), "best.component").agg(F.min("best").alias("best")).select("a", F.col("best.node").alias("b")))
+
+
+def _rest(rows: DataFrame, lists: DataFrame, percent: int, parities: DataFrame | None = None, rounds: Rounds | None = None) -> DataFrame:
+    """Candidate pairs between the components so far, which read tables that ``rounds`` has stored."""
+    merged, heavy, asked = _met(rows, lists, percent, parities, rounds)
+    least_k = _least_k(percent)
     # Lists that a pair shares and that are not merged are at most those of the light node; partners with such lists are
     # merged apart, so that a heavy node asks for fewer merged lists of these only. One is needed of every pair.
     apart = F.explode(F.array(F.struct(F.lit(False).alias("some"), F.filter("members", lambda m: m["unseen"] == 0).alias("members")),
@@ -321,26 +352,29 @@ def join(documents: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataF
     sets = rounds.stage(node_sets(documents, asked, width), "jaccard-node-sets")
     rounds.drop(asked)
 
-    links, labels = None, None
+    links, labels, compared = None, None, parities.count()
     for turn in range(LEADER_TURNS):
         mixed = rounds.stage(_turn(shared, labels, turn, percent), "jaccard-turn")
         rounds.drop(shared)
         shared = mixed
-        pairs = rounds.stage(_leader_pairs(mixed), "jaccard-leaders")
+        pairs = rounds.stage(_leader_pairs(mixed, parities, percent), "jaccard-leaders")
         found = verified(pairs, parities, sets, percent, rounds)
-        done = found.count() * STOP <= pairs.count()
+        done = found.count() * STOP <= compared
         links, labels = _linked(links, found, rounds)
         rounds.drop(pairs)
         if done:
             break
-    mixed = rounds.stage(_mixed(shared, labels), "jaccard-mixed")
-    rounds.drop(shared)
     searched = Rounds(documents.sparkSession)
-    pairs = rounds.stage(_rest(mixed, repeated, percent, parities, searched), "jaccard-pairs")
-    searched.drop_all()
-    more = verified(pairs, parities, sets, percent, rounds)
-    links, labels = _linked(links, more, rounds)
-    rounds.drop(mixed, pairs, repeated, parities, sets, links)
+    for last in (False, True):
+        mixed = rounds.stage(_mixed(shared, labels), "jaccard-mixed")
+        rounds.drop(shared)
+        shared = mixed
+        met = (mixed, repeated, percent, parities, searched)
+        pairs = rounds.stage(_rest(*met) if last else _closest(_met(*met)[2]), "jaccard-pairs")
+        searched.drop_all()
+        links, labels = _linked(links, verified(pairs, parities, sets, percent, rounds), rounds)
+        rounds.drop(pairs)
+    rounds.drop(shared, repeated, parities, sets, links)
     return placed, labels
 
 

@@ -145,6 +145,38 @@ def test_ngram_join_of_a_large_group(spark):
     assert [out[k] for k in range(len(texts))] == want and 1 < len(set(want[:220])) < 220
 
 
+def test_pairs_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """Texts with one or two words changed link to a part of the group each: what is searched exactly stays near their number."""
+    random.seed(29)
+    line, texts = [f"w{i}" for i in range(150)], []
+    for k in range(240):
+        words = list(line)
+        for at in random.sample(range(150), 2 if k % 3 else 1):
+            words[at] = f"x{random.random()}"
+        texts.append(" ".join(words))
+    counted, rest = [], ngram_join._rest
+
+    def search(*args):
+        found = rest(*args)
+        counted.append(found.count())
+        return found
+    monkeypatch.setattr(ngram_join, "_rest", search)
+    out = {r["doc_id"]: r["component_id"] for r in ngram_join.report(docs(spark, list(enumerate(texts)))).collect()}
+    assert out == _components_by_brute_force(texts)
+    assert counted[0] <= len(texts)
+
+
+def _components_by_brute_force(texts):
+    sets = [{tuple(w[i:i + 3]) for i in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return dict(enumerate(root))
+
+
 def test_near_copies_are_rows(spark):
     """Repeated rows of one id, copies without id, and a clean row that has the id of a copy."""
     from corpus_pipeline import drop_near_copies
