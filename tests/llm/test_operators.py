@@ -303,6 +303,33 @@ def test_near_passages_behind_more_leaders_than_turns(spark):
     assert out >= {pair for k in CONTESTS for pair in ((2 * k, 2 * k + 1, 50, 110), (2 * k + 1, 2 * k, 50, 110))}
 
 
+def test_texts_without_a_common_run_are_not_aligned(spark, monkeypatch):
+    """Phrases of nine words in many texts hold no passage; of three near copies, two are not compared again when one has led."""
+    counted, compare = [], passages._compared
+    monkeypatch.setattr(passages, "_compared", lambda anchors, *rest: counted.append(
+        anchors.select("node", "other").distinct().count()) or compare(anchors, *rest))
+    rows = [(10 * k + j, f"{prose(7000 + 10 * k + j, 60)} {prose(7900 + k, 9)} {prose(8000 + 10 * k + j, 60)}") for k in range(6) for j in range(8)]
+    assert passages.report(docs(spark, rows)).count() == 0 and sum(counted) == 0
+    counted.clear()
+    near = prose(52, 120).split()
+    copies = [" ".join(near), *(" ".join(near[:at] + ["other"] + near[at + 1:]) for at in (40, 80))]
+    out = {(r["doc_id"], r["first_word"], r["end_word"]) for r in passages.report(docs(spark, rows + [(900 + k, copy) for k, copy in enumerate(copies)])).collect()}
+    assert {(900, 0, 120), (901, 0, 120), (902, 0, 120)} <= out and {doc_id for doc_id, _, _ in out} == {900, 901, 902} and sum(counted) <= 6
+
+
+@pytest.mark.parametrize("words", [["word"], ["one", "two"], prose(53, 30).split()])
+def test_repetitive_texts(spark, words):
+    """A text that repeats a few words has a window for some of its places only, and passages over its repeats."""
+    own = [prose(8200 + k, 60) for k in range(2)]
+    rows = [(k, f"{own[k]} {' '.join((words * 300)[:250 + 100 * k])}") for k in range(2)]
+    batch = pa.record_batch({"node": pa.array([0, 1]), "text": pa.array([row[1] for row in rows])})
+    assert next(passages._windows(batch)).num_rows < 400
+    held = {k: set() for k in range(2)}
+    for r in passages.report(docs(spark, rows)).collect():
+        held[r["doc_id"]] |= set(range(r["first_word"], r["end_word"]))
+    assert all(held[k] >= set(range(60, 310 + 50 * k)) and not held[k] & set(range(55)) for k in range(2))
+
+
 def near_pair(seed, n, change):
     """Two texts that share n random words, one of which is changed, in random surroundings."""
     rng = random.Random(seed)
